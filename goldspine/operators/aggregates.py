@@ -57,8 +57,8 @@ def group_statistics(totals: DataFrame, group: str, minimum_total: int) -> DataF
         "country_count",
         "total_population",
         ratio(
-            F.col("total_population").cast("decimal(28,0)"), F.col("_measured").cast("decimal(10,0)"),
-            T.DecimalType(28, 0), T.DecimalType(10, 0), 0,
+            F.col("total_population").cast("decimal(28,0)"), F.col("_measured").cast("decimal(19,0)"),
+            T.DecimalType(28, 0), T.DecimalType(19, 0), 0,
         ).alias("average_population"),
         "total_gdp_usd",
         ratio(

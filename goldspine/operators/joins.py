@@ -20,7 +20,7 @@ def salted(many: DataFrame, one: DataFrame, keys: Sequence[str], salts: int) ->
     if salts < 1:
         raise ValueError("salts must be at least 1")
     row_hash = F.xxhash64(*[F.col(f"`{name}`") for name in many.columns])
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         many.withColumn(_SALT, F.pmod(row_hash, F.lit(salts)).cast("int")),
         one.select("*", copies.alias(_SALT)),

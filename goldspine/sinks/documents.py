@@ -18,7 +18,7 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet", mode: st
     """Write all rows; the job's commit makes the output appear whole or not at all."""
     writer = df.write.mode(mode)
     if file_format == "csv":
-        options = {"header": "true", "encoding": "UTF-8", **options}
+        options = {"header": "true", "encoding": "UTF-8", "escape": '"', **options}
     for name, value in options.items():
         writer = writer.option(name, value)
     writer.format(file_format).save(path)

@@ -35,15 +35,20 @@ def with_ordinal(df: DataFrame) -> DataFrame:
     return df.select("*", place.alias(ORDINAL))
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], columns: str, ordinal: bool = False) -> DataFrame:
-    """Header CSV with every column text and empty cells null.
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], columns: str, ordinal: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """Header CSV with every column text, doubled quotes and empty cells null.
 
     ``columns`` is the DDL of the columns wanted; a file must have them all,
-    in any order, among others. The header is checked against it.
+    in any order, among others. ``multi_line`` allows line breaks inside
+    quotes, at the price of one task per file.
     """
     wanted = S.schema(columns)
     paths = [path] if isinstance(path, str) else list(path)
-    header = spark.read.option("header", True).csv(paths, enforceSchema=False)
+    header = spark.read.csv(
+        paths, header=True, quote='"', escape='"', multiLine=multi_line, enforceSchema=False
+    )
     S.require_columns(header, wanted.fieldNames(), "csv")
     df = with_ordinal(header) if ordinal else header
     return df.select(*wanted.fieldNames(), *([ORDINAL] if ordinal else []))
