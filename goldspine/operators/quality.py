@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldspine.functions.text import is_blank, is_code
-from goldspine.operators.aggregates import duplicate_count, rows_per_source
+from goldspine.operators.aggregates import duplicate_count
 
 
 @dataclass(frozen=True)
@@ -201,14 +201,8 @@ def quality_report(
         block("duplicate_", config.unique).alias("duplicates"),
         *[F.col(n).alias(renames.get(n, n)) for n in names if n not in grouped],
     )
-    if sources:
-        # One entry per configured source, so the map is as small as the configuration.
-        counts = rows_per_source(sources).agg(F.map_from_entries(F.collect_list(F.struct("source", "rows"))).alias("m"))
-        source_rows = F.coalesce(counts.scalar(), F.create_map().cast("map<string,bigint>"))
-        zeros = F.create_map(*[part for name in sources for part in (F.lit(name), F.lit(0).cast("bigint"))])
-        source_rows = F.transform_values(zeros, lambda k, _: F.coalesce(F.try_element_at(source_rows, k), F.lit(0).cast("bigint")))
-    else:
-        source_rows = F.lit(None).cast("map<string,bigint>")
+    counts = [part for name, frame in (sources or {}).items() for part in (F.lit(name), frame.agg(F.count("*")).scalar())]
+    source_rows = F.create_map(*counts) if counts else F.lit(None).cast("map<string,bigint>")
     return checks.select(
         F.when(passed, "passed").otherwise("failed").alias("status"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at"),

@@ -87,6 +87,10 @@ def top_k_by_measure(df: DataFrame, measure: str, tie_break: Sequence[str], k: i
 
 
 def _magnitude(value: Column) -> Column:
-    """A class number that never falls as the value rises: sign and log2 in 1/64 steps."""
-    size = F.floor(F.log2(F.abs(value.cast("double")) + F.lit(1e-300)) * 64).cast("int") + F.lit(1 << 17)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0))
+    """A class number that never falls as the value rises: sign and log2 in 1/64 steps.
+
+    Infinities and NaN share the outermost classes.
+    """
+    size = F.least(F.abs(value.cast("double")), F.lit(1e300)) + F.lit(1e-300)
+    step = F.floor(F.log2(size) * 64).cast("int") + F.lit(1 << 17)
+    return F.when(value > 0, step).when(value < 0, -step).otherwise(F.lit(0))
