@@ -67,7 +67,10 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], required: Itera
 
 
 def list_files(spark: SparkSession, path: str | Sequence[str], pattern: str | None = None) -> DataFrame:
-    """(path, length, modificationTime) of the files below ``path``; reads no content."""
+    """(path, length, modificationTime) of the files below ``path``; reads no content.
+
+    Empty files are left out, as in every Spark file source.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
