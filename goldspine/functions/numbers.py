@@ -58,9 +58,7 @@ def grouped_integer(value: Column) -> Column:
 
     Null unless only decimal digits remain. Digits of other scripts count.
     """
-    text = F.regexp_replace(F.regexp_replace(value, _FOOTNOTE, ""), f"[{_BLANK},]", "")
-    source, target = _decimal_digits()
-    text = F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, source, target)).otherwise(text)
+    text = F.translate(F.regexp_replace(value, f"{_FOOTNOTE}|[{_BLANK},]", ""), *_decimal_digits())
     return F.when(text.rlike(r"^[0-9]+\z"), text.try_cast("bigint"))
 
 

@@ -39,30 +39,32 @@ def _fold(text: str) -> str:
     return "".join(c for c in decomposed if not unicodedata.combining(c)).casefold()
 
 
+# Stands for a character that folds to several; a private-use character no text should hold.
+_RARE = "\uf8ff"
+
+
 @lru_cache(maxsize=1)
-def _fold_tables() -> tuple[str, str, str]:
-    """(from, to, special) for the basic plane, derived from Unicode itself.
+def _fold_table() -> tuple[str, str]:
+    """Arguments of ``translate`` for the first two planes, derived from Unicode itself.
 
-    ``from``/``to`` feed ``translate``: characters that fold to one letter,
-    digit or bracket, then the combining marks, which have no counterpart in
-    ``to`` and so vanish. ``special`` folds to several characters.
-    Everything else folds to a separator and needs no entry.
+    Characters that fold to one letter, digit or bracket are mapped to it,
+    those that fold to several to the ``_RARE`` marker. The combining marks
+    come last and have no counterpart, so they vanish. Every other character
+    folds to a separator and needs no entry; the planes above hold only those.
     """
-    source, target, marks, special = [], [], [], []
-    for point in range(0x80, 0x10000):
-        if 0xD800 <= point < 0xE000:
-            continue
+    source, target, marks = [], [], []
+    for point in (*range(0x80, 0xD800), *range(0xE000, 0x20000)):
         char = chr(point)
         folded = _fold(char)
         if not folded:
             marks.append(char)
-        elif len(folded) > 1:
-            if _SIGNIFICANT.intersection(folded):
-                special.append(char)
         elif folded in _SIGNIFICANT:
             source.append(char)
             target.append(folded)
-    return "".join(source + marks), "".join(target), "".join(special)
+        elif char == _RARE or (len(folded) > 1 and _SIGNIFICANT.intersection(folded)):
+            source.append(char)
+            target.append(_RARE)
+    return "".join(source + marks), "".join(target)
 
 
 @F.pandas_udf(T.StringType())
@@ -70,22 +72,20 @@ def _fold_rare(values: pd.Series) -> pd.Series:
     return values.map(_fold, na_action="ignore")
 
 
+# Keeps the optimizer from copying the call into every filter on a name key.
+_fold_rare = _fold_rare.asNondeterministic()
+
+
 def fold_accents(value: Column) -> Column:
     """Accent- and case-fold (compatibility decomposition, marks dropped).
 
-    ASCII and every character with a one-character folding stay in the JVM.
-    Only texts with a multi-character folding (ligatures, Roman numerals,
-    characters beyond the basic plane) reach Python; for all others it is
-    handed a null.
+    One ``translate`` in the JVM settles all but the texts that hold a
+    character with a multi-character folding (ligatures, Roman numerals).
+    Only those reach Python; for all others it is handed a null.
     """
-    source, target, special = _fold_tables()
-    text = F.replace(F.replace(value, F.lit("ß"), F.lit("ss")), F.lit("ẞ"), F.lit("ss"))
-    rare = (F.length(F.translate(text, special, "")) < F.length(text)) | text.rlike(
-        r"[\x{10000}-\x{10FFFF}]"
-    )
-    non_ascii = text.rlike(r"[^\x00-\x7F]")
-    plain = F.when(non_ascii, F.translate(text, source, target)).otherwise(text)
-    return F.coalesce(_fold_rare(F.when(non_ascii & rare, text)), F.lower(plain))
+    text = F.replace(value, F.lit("ß"), F.lit("ss"))
+    folded = F.translate(text, *_fold_table())
+    return F.coalesce(_fold_rare(F.when(F.contains(folded, F.lit(_RARE)), text)), F.lower(folded))
 
 
 def normalize_name(value: Column) -> Column:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable, Mapping
+from contextlib import redirect_stdout
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from goldspine.functions.numbers import frame_ratio
 from goldspine.operators.aggregates import group_counts, group_statistics, group_totals
@@ -116,23 +118,18 @@ def export_queries(spark: SparkSession, folder: str, names: tuple[str, ...] = tu
 def plan_lines(spark: SparkSession, df: DataFrame, execute: bool = False) -> DataFrame:
     """The formatted plan of ``df``, one row per line.
 
-    With ``execute`` the query runs in full first (its rows are discarded), so
-    the text is accompanied by the number of rows it produced.
+    With ``execute`` the query runs in full first, its rows discarded, and
+    their number ends the text.
     """
-    rows = None
+    lines = _explain(df).splitlines()
     if execute:
-        rows = df.count()
-    text = _explain(df)
-    lines = text.splitlines()
-    if rows is not None:
-        lines.append(f"rows: {rows}")
+        seen = Observation("plan_lines")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+        lines.append(f"rows: {seen.get['rows']}")
     return spark.createDataFrame(list(enumerate(lines)), "line bigint, text string")
 
 
 def _explain(df: DataFrame) -> str:
-    import io
-    from contextlib import redirect_stdout
-
     buffer = io.StringIO()
     with redirect_stdout(buffer):
         df.explain("formatted")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldspine import schema as S
 from goldspine.operators.crud import REASON, ForeignKey, create_rows, replace_rows, split
@@ -54,11 +54,9 @@ def _prepare(batch: DataFrame, table: str, keep: list[str]) -> DataFrame:
     now = F.current_timestamp()
     defaults = {"created_at": now, "loaded_at": now, "processed_at": now, "source_count": F.lit(1)}
     layout = S.schema(S.STAR_TABLES[table])
-    extra = [F.col(c) for c in keep if c not in layout.fieldNames()]
-    aligned = S.align(batch, layout, {k: v for k, v in defaults.items() if k in layout.fieldNames()})
-    if extra:
-        aligned = S.align(batch, S.T.StructType([*layout.fields, *[batch.schema[c] for c in keep if c not in layout.fieldNames()]]),
-                          {k: v for k, v in defaults.items() if k in layout.fieldNames()})
+    names = layout.fieldNames()
+    kept = T.StructType([*layout.fields, *[batch.schema[c] for c in keep if c not in names]])
+    aligned = S.align(batch, kept, {k: v for k, v in defaults.items() if k in names})
     if table == "country":
         aligned = aligned.withColumns({c: F.upper(c) for c in ("iso2", "iso3")})
     return aligned

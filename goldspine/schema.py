@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def schema(ddl: str) -> T.StructType:
-    return T._parse_datatype_string(ddl) if not hasattr(T.StructType, "fromDDL") else T.StructType.fromDDL(ddl)
+    return T.StructType.fromDDL(ddl)
 
 
 # Column names, order and types of the published tables.

@@ -130,10 +130,12 @@ class _HtmlRows:
 def raw_rows(pages: DataFrame, html: str, *keep: str, table_id: str | None = None) -> DataFrame:
     """Cell texts of each page's population table.
 
-    Pages without any table never leave the JVM.
+    Pages that cannot hold one never leave the JVM: those without a table, or
+    without the value column's word (written plainly or as character codes).
     """
     rows = F.udtf(_HtmlRows, returnType="position int, name_cell string, value_cell string")
-    tabled = pages.where(F.col(html).ilike("%<table%"))
+    text = F.col(html)
+    tabled = pages.where(text.ilike("%<table%") & (text.ilike(f"%{VALUE_WORD}%") | text.contains("&#")))
     found = tabled.select(*keep, html).lateralJoin(
         rows(F.col(html).outer(), F.lit(table_id).cast("string"))
     )

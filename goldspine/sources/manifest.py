@@ -116,7 +116,7 @@ def manifest_outputs(
     problems = [row.asDict() for row in broken.where("problem is not null").orderBy("source").collect()]
     if problems:
         raise ManifestError(f"raw output changed since the manifest: {problems}")
-    return outputs
+    return {source: outputs[source] for source in sources}
 
 
 def _inside(path: str, folder: str) -> bool:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldspine.functions import variants as V
+from goldspine.sinks.staging import stage
 
 MAX_PAGE = 100
 
@@ -58,8 +59,10 @@ def protocol_summary(parsed: DataFrame, offset: str) -> DataFrame:
     """One row: is the capture complete? (pages, objects, problems, terminal pages, gaps).
 
     The pages chain if each non-terminal page's end is another page's offset,
-    which is a join of offsets and needs no global order.
+    which is a join of offsets and needs no global order. Four narrow columns
+    are staged, so the payloads are parsed once.
     """
+    parsed = stage(parsed.select(offset, "_count", "_more", "problem"), "pages")
     ends = parsed.where(F.col("_more")).select((F.col(offset) + F.col("_count")).alias("_next"))
     starts = parsed.select(F.col(offset).alias("_next")).distinct()
     gaps = ends.join(starts, "_next", "left_anti").agg(F.count("*").alias("gaps"))
@@ -82,11 +85,15 @@ def protocol_summary(parsed: DataFrame, offset: str) -> DataFrame:
 
 
 def explode_objects(parsed: DataFrame, *keep: str) -> DataFrame:
-    """One row per object of the sound pages, with its position in the page."""
+    """One row per object of the sound pages, with its position in the page.
+
+    Unsound pages explode to nothing. A filter on ``problem`` would be pushed
+    below the parsing and repeat it for every test.
+    """
     entries = F.try_variant_get(F.col("_page"), "$.data.objects", "array<variant>")
-    return parsed.where(F.col("problem").isNull()).select(
-        *keep, F.posexplode(entries).alias("position", "item")
-    )
+    sound = F.when(F.col("problem").isNull(), entries)
+    rows = parsed.select(*keep, F.posexplode_outer(sound).alias("position", "item"))
+    return rows.where(F.col("position").isNotNull())
 
 
 def normalize_records(objects: DataFrame, *keep: str, source_url: str | None = None, item: str = "item") -> DataFrame:

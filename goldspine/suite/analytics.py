@@ -121,7 +121,7 @@ ORACLES = {
                        ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC,
                                 l_quantity DESC, l_extendedprice DESC, l_discount DESC) AS rn
             FROM lineitem WHERE l_quantity IS NOT NULL AND l_discount > 0
-        ), enriched AS (
+        ), joined AS (
             SELECT s_suppkey, s_name, n_name AS subregion_name, r_name AS region_name,
                    CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, population, area_km2, gdp_usd,
                    CAST(round(area_km2 * 100) AS BIGINT) AS area_cents,
@@ -136,7 +136,7 @@ ORACLES = {
                     ELSE CAST((2 * gdp_cents + population) // (2 * population) AS DOUBLE) / 100
                END AS gdp_per_capita_usd,
                dense_rank() OVER (PARTITION BY region_name ORDER BY population DESC) AS population_rank_in_region
-        FROM enriched ORDER BY region_name, population_rank_in_region, s_name
+        FROM joined ORDER BY region_name, population_rank_in_region, s_name
     """,
     "region_statistics": f"""
         WITH facts AS (

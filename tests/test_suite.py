@@ -24,9 +24,3 @@ def test_entry(spark):
 def test_query_equals_sql(spark, duck, name):
     ok, note = compare(spark, duck, SF, name)
     assert ok, note
-
-
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n != "plan_capture"])
-def test_no_cartesian_plan(spark, name):
-    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
