@@ -41,7 +41,8 @@ def latest_indicators(
     usable = indicators.where(
         F.col("population").isNotNull() & F.col("area_km2").isNotNull() & (F.col("area_km2") > 0)
     )
-    latest = latest_per_key(usable, [key], period, tie_break)
+    columns = dict.fromkeys((key, period, "population", "area_km2", "gdp_usd", *tie_break))
+    latest = latest_per_key(usable.select(*columns), [key], period, tie_break)
     facts = latest.select(key, period, "population", "area_km2", "gdp_usd")
     entities = reference.where(F.col("active")).drop("active")
     joined = entities.join(facts, key).where(F.col("population") >= minimum_population)

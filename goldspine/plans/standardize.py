@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from goldspine import schema as S
 from goldspine.functions.collections import serialize
 from goldspine.functions.numbers import to_double, to_integer
 from goldspine.functions.text import apply_aliases, clean_code, normalize_name
-from goldspine.operators.dedupe import first_per_key
+from goldspine.operators.dedupe import highest_per_key
 from goldspine.sources.files import ORDINAL
 
 
@@ -39,8 +39,10 @@ def standardize(
 ) -> DataFrame:
     """Clean ``df`` and keep the last row of each key (of its latest period, if any).
 
-    ``ordinal`` columns give the input order. Without them the order is that of
-    the scan, which only holds for a frame read directly from files.
+    Only the key is cleaned before the rows are reduced to one per key; names,
+    numbers and collections are cleaned on the rows that remain. ``ordinal``
+    columns give the input order. Without them the order is that of the scan,
+    which only holds for a frame read directly from files.
     """
     S.require_columns(df, spec.required, f"source {spec.source}")
     ordinal = [name for name in ordinal if name in df.columns]
@@ -49,14 +51,34 @@ def standardize(
     renames = {old: new for old, new in spec.renames.items() if old in df.columns}
     df = df.drop(*[new for old, new in renames.items() if new in df.columns]).withColumnsRenamed(renames)
     present = set(df.columns)
-    types = {f.name: f.dataType for f in df.schema.fields}
+    places = [f"_o{i}" for i in range(len(ordinal))]
 
-    def column(name: str):
+    def absent(name: str) -> Column:
+        kind = "bigint" if name in spec.integers else "double" if name in spec.doubles else "string"
+        return F.lit(None).cast(kind).alias(name)
+
+    def keyed(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        return (clean_code(value, spec.codes[name]) if name in spec.codes else value).alias(name)
+
+    by_name = spec.name_key in spec.key
+    name_key = apply_aliases(normalize_name(F.col(f"`{spec.name}`").cast("string")), aliases).alias(spec.name_key)
+    raw = df.select(
+        *[keyed(name) if name in spec.key else F.col(f"`{name}`") for name in spec.columns if name in present],
+        *([name_key] if by_name else []),
+        *[F.col(f"`{name}`").alias(place) for name, place in zip(ordinal, places)],
+    )
+    order = [*([spec.period] if spec.period and spec.period in present else []), *places]
+    last = highest_per_key(raw, list(spec.key), order)
+    if spec.drop_null_key:
+        last = last.dropna(subset=list(spec.key))
+    types = {field.name: field.dataType for field in last.schema.fields}
+
+    def cleaned(name: str) -> Column:
         if name not in present:
-            kind = "bigint" if name in spec.integers else "double" if name in spec.doubles else "string"
-            return F.lit(None).cast(kind).alias(name)
+            return absent(name)
         value = F.col(f"`{name}`")
-        if name in spec.codes:
+        if name in spec.codes and name not in spec.key:
             value = clean_code(value, spec.codes[name])
         elif name in spec.integers:
             value = to_integer(value, types[name])
@@ -66,18 +88,13 @@ def standardize(
             value = serialize(value, types[name])
         return value.alias(name)
 
-    key = apply_aliases(normalize_name(F.col(f"`{spec.name}`").cast("string")), aliases)
-    order_names = [f"_o{i}" for i in range(len(ordinal))]
-    cleaned = df.select(
-        *[column(name) for name in spec.columns],
-        *([key.alias(spec.name_key)] if spec.name in present else [F.lit(None).cast("string").alias(spec.name_key)]),
-        F.lit(spec.source).alias("source"),
-        *[F.col(f"`{name}`").alias(alias) for name, alias in zip(ordinal, order_names)],
+    if by_name:
+        name_key = F.col(spec.name_key)
+    elif spec.name not in present:
+        name_key = F.lit(None).cast("string").alias(spec.name_key)
+    return last.select(
+        *[cleaned(name) for name in spec.columns], name_key, F.lit(spec.source).alias("source")
     )
-    if spec.drop_null_key:
-        cleaned = cleaned.dropna(subset=list(spec.key))
-    order = [F.col(name).desc_nulls_last() for name in ([spec.period] if spec.period else []) + order_names]
-    return first_per_key(cleaned, list(spec.key), order).drop(*order_names)
 
 
 # Columns of the five country sources.

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from goldspine.operators import access, quality as Q
 from goldspine.operators.aggregates import duplicate_count, group_counts, key_summary, rows_per_source
 from goldspine.operators.crud import ForeignKey, create_rows, replace_rows, split
-from goldspine.operators.dedupe import DuplicateKeys, assert_unique, duplicate_keys, keep_last, latest_per_key
+from goldspine.operators.dedupe import (
+    DuplicateKeys, assert_unique, duplicate_keys, first_per_key, highest_per_key, keep_last, latest_per_key,
+)
 from goldspine.operators.joins import lookup, orphans
 from goldspine.operators.ranking import _rank_by_position, dense_rank_within, top_k, top_k_by_measure
 from goldspine.operators.referential import cascade_delete, cascade_key, delete_rows, set_null
@@ -43,10 +45,22 @@ def test_keep_last_and_latest_on_a_hot_key(spark):
 
 
 def test_only_one_row_per_key_leaves_a_task(spark):
-    _, df = skewed(spark)
+    data, df = skewed(spark)
     staged = stage(df, "t")
-    text = plan(keep_last(staged, ["k"], ["id"]))
-    assert "WindowGroupLimit" in text and "Partial" in text
+    assert "partial_max" in plan(keep_last(staged, ["k"], ["id"]))
+    by_window = first_per_key(staged, ["k"], [F.col("id").asc()])
+    assert "WindowGroupLimit" in plan(by_window)
+    first = {}
+    for row in data:
+        first.setdefault(row[1], row)
+    assert {r.k: tuple(r) for r in by_window.collect()} == first
+
+
+def test_highest_per_key_carries_unorderable_columns(spark):
+    df = spark.createDataFrame([("a", 1, {"x": 1}), ("a", 2, {"x": 2}), (None, 5, None)], "k string, n int, m map<string,int>")
+    assert {r.k: (r.n, r.m) for r in highest_per_key(df, ["k"], ["n"]).collect()} == {"a": (2, {"x": 2}), None: (5, None)}
+    tied = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y")], "k string, n int, v string")
+    assert highest_per_key(tied, ["k"], ["n"]).first().v == "y"
 
 
 def test_null_period_never_wins(spark):
