@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 _SALT = "_salt"
 DEFAULT_SALTS = 8
@@ -13,13 +13,15 @@ DEFAULT_SALTS = 8
 def salted(many: DataFrame, one: DataFrame, keys: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
     """Spread each key of ``many`` over ``salts`` sub-keys and repeat ``one`` for each.
 
-    The salt is a hash of the row, so a recomputed task assigns it again.
-    Joining on key and salt also makes both sides arrive by their own exchange,
-    which is the shape adaptive execution can split further.
+    The salt is a hash of the task's number and the row, so identical rows are
+    spread too, and a recomputed task assigns the same salts again. Joining on
+    key and salt also makes both sides arrive by their own exchange, which is
+    the shape adaptive execution can split further.
     """
     if salts < 1:
         raise ValueError("salts must be at least 1")
-    row_hash = F.xxhash64(*[F.col(f"`{name}`") for name in many.columns])
+    hashable = [f.name for f in many.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in hashable])
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     return (
         many.withColumn(_SALT, F.pmod(row_hash, F.lit(salts)).cast("int")),

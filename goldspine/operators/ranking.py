@@ -55,7 +55,8 @@ def _rank_by_position(df: DataFrame, group: str, measure: str, rank: str) -> Dat
         )
     )
     keyed = df.withColumn("_key", F.struct(F.col(group).alias("_g"), F.col(measure).alias("_m")))
-    return lookup(keyed, ranked, ["_key"], "inner").drop("_key")
+    # There may be as many distinct measures as rows, so they are not repeated per salt.
+    return lookup(keyed, ranked, ["_key"], "inner", salts=1).drop("_key")
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

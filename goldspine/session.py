@@ -8,7 +8,9 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "goldspine", cores: int | str = "*", partitions: int = 8) -> SparkSession:
+def build_session(
+    app: str = "goldspine", cores: int | str = "*", partitions: int = 8, java_options: str = ""
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -18,6 +20,8 @@ def build_session(app: str = "goldspine", cores: int | str = "*", partitions: in
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("GOLDSPINE_DRIVER_MEMORY", "8g"))
     )
+    if java_options:
+        builder = builder.config("spark.driver.extraJavaOptions", java_options)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.operators.aggregates import group_counts, key_summary, duplicate_count
-from goldspine.operators.dedupe import latest_per_key
-from goldspine.operators.ranking import top_k_by_measure
+from goldspine.operators.dedupe import first_per_key, latest_per_key
+from goldspine.operators.ranking import dense_rank_within, top_k_by_measure
 from goldspine.plans import analytics as plans
 from goldspine.sources.tables import run_sql, scan_active
 from goldspine.suite.tables import as_double, customers, day, read, shipments, suppliers
@@ -65,6 +65,24 @@ def latest_per_entity(spark: SparkSession, sf: str) -> DataFrame:
     return latest.withColumn("o_orderdate", day("o_orderdate"))
 
 
+def first_per_entity(spark: SparkSession, sf: str) -> DataFrame:
+    """Each customer's cheapest order, the newest of equally cheap ones."""
+    orders = read(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    return first_per_key(orders, ["o_custkey"], [F.col("o_totalprice").asc_nulls_last(), F.col("o_orderkey").desc()])
+
+
+def rank_in_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders ranked by price within their priority, groups small enough for a window."""
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return dense_rank_within(orders, "o_orderpriority", "o_totalprice", "price_rank")
+
+
+def rank_in_large_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items ranked by price within their flag, as if each flag were too large for one task."""
+    lines = read(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
+    return dense_rank_within(lines, "l_returnflag", "l_extendedprice", "price_rank", max_group_rows=0)
+
+
 def active_scan(spark: SparkSession, sf: str) -> DataFrame:
     table = read(spark, sf, "customer").withColumn("active", F.col("c_acctbal") > 0)
     return scan_active(table, "c_custkey").select("c_custkey", "c_name", "c_mktsegment")
@@ -99,6 +117,9 @@ QUERIES = {
     "region_statistics": region_statistics,
     "topk_measure": topk_measure,
     "latest_per_entity": latest_per_entity,
+    "first_per_entity": first_per_entity,
+    "rank_in_group": rank_in_group,
+    "rank_in_large_group": rank_in_large_group,
     "active_scan": active_scan,
     "bound_sql": bound_sql,
     "uniqueness_summary": uniqueness_summary,
@@ -165,6 +186,20 @@ ORACLES = {
         FROM orders
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1
     """,
+    "first_per_entity": """
+        SELECT o_custkey, o_orderkey, o_totalprice, o_orderstatus FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey DESC) = 1
+    """,
+    "rank_in_group": """
+        SELECT o_orderkey, o_orderpriority, o_totalprice,
+               dense_rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC) AS price_rank
+        FROM orders
+    """,
+    "rank_in_large_group": """
+        SELECT l_returnflag, l_quantity, l_extendedprice,
+               dense_rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC) AS price_rank
+        FROM lineitem
+    """,
     "active_scan": "SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_acctbal > 0 ORDER BY c_custkey",
     "bound_sql": """
         SELECT o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS highest FROM orders
