@@ -79,13 +79,18 @@ _fold_rare = _fold_rare.asNondeterministic()
 def fold_accents(value: Column) -> Column:
     """Accent- and case-fold (compatibility decomposition, marks dropped).
 
-    One ``translate`` in the JVM settles all but the texts that hold a
+    ASCII text (as many bytes as characters) is only lower-cased. One
+    ``translate`` in the JVM settles all other texts but those that hold a
     character with a multi-character folding (ligatures, Roman numerals).
-    Only those reach Python; for all others it is handed a null.
+    Only these reach Python; for all others it is handed a null. No accented
+    Latin-1 letter but ß is of that kind, so common texts skip the search.
     """
     text = F.replace(value, F.lit("ß"), F.lit("ss"))
+    ascii_only = F.octet_length(text) == F.length(text)
     folded = F.translate(text, *_fold_table())
-    return F.coalesce(_fold_rare(F.when(F.contains(folded, F.lit(_RARE)), text)), F.lower(folded))
+    unusual = text.rlike(r"[^\x00-\x7F\u00C0-\u00FF]")
+    rare = F.when(unusual & F.contains(folded, F.lit(_RARE)), text)
+    return F.coalesce(_fold_rare(rare), F.lower(F.when(ascii_only, text).otherwise(folded)))
 
 
 def normalize_name(value: Column) -> Column:

@@ -84,9 +84,10 @@ def duplicate_count(column: str) -> Column:
     return F.count(F.lit(1)) - F.count_distinct(value) - any_null
 
 
-def key_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Row count and distinct count of each column, in one aggregate."""
+def key_summary(df: DataFrame, columns: Sequence[str], **measures: Column) -> DataFrame:
+    """Row count, distinct count of each column, and further measures, in one aggregate."""
     return df.agg(
         F.count("*").alias("row_count"),
         *[F.count_distinct(F.col(name)).alias(f"distinct_{name}") for name in columns],
+        *[measure.alias(name) for name, measure in measures.items()],
     )

@@ -133,7 +133,9 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
         [(source, path.rstrip("/"), size, digest) for source, (path, size, digest) in entries.items()],
         "source string, output string, recorded_bytes bigint, recorded_sha256 string",
     )
-    present = [path for path, _, _ in entries.values() if _exists(spark, path)]
+    present = [path for path, _, _ in entries.values()]
+    if not _exists(spark, present):
+        present = [path for path in present if _exists(spark, path)]
     if not present:
         return recorded.select(
             "source", F.lit(0).cast("bigint").alias("files"), F.lit(0).cast("bigint").alias("bytes"),
@@ -164,9 +166,11 @@ def _local(path):
     return F.regexp_replace(path, "^file:/*", "/")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _exists(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """Whether every path exists; the reader checks that before any job."""
     try:
-        return not list_files(spark, path).isEmpty()
+        list_files(spark, path)
+        return True
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             return False

@@ -102,9 +102,7 @@ def uniqueness_summary(spark: SparkSession, sf: str) -> DataFrame:
     lines = read(spark, sf, "lineitem").withColumn(
         "line_key", F.concat_ws("-", "l_orderkey", "l_linenumber")
     )
-    summary = key_summary(lines, ["l_orderkey", "line_key"])
-    repeats = lines.agg(duplicate_count("line_key").alias("duplicate_lines"))
-    return summary.withColumn("duplicate_lines", repeats.scalar())
+    return key_summary(lines, ["l_orderkey", "line_key"], duplicate_lines=duplicate_count("line_key"))
 
 
 def plan_capture(spark: SparkSession, sf: str) -> DataFrame:
