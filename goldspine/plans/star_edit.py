@@ -33,7 +33,6 @@ REFERENCES = {
     "country": [("region_id", "region"), ("subregion_id", "subregion")],
     "country_indicator": [("country_id", "country")],
 }
-SEARCH = {"region": "region_name", "subregion": "subregion_name", "country": "country_name"}
 RULES = {
     "region": region_rules,
     "subregion": subregion_rules,

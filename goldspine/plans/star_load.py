@@ -14,7 +14,6 @@ from goldspine.operators.aggregates import duplicate_count
 from goldspine.operators.quality import country_rules, indicator_rules, violations
 from goldspine.operators.upsert import CHANGE, assign_ids, new_keys, resolve_ids, upsert
 from goldspine.plans.star_store import StarStore, timestamp_literal
-from goldspine.sinks.staging import stage
 from goldspine.sources.files import combined_fingerprint, fingerprints
 from goldspine.sources.manifest import newest_output
 

@@ -7,7 +7,6 @@ import posixpath
 import re
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
-from fnmatch import fnmatch
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -34,9 +33,9 @@ def newest_output(spark: SparkSession, folder: str, pattern: str, required: bool
         if required:
             raise NoSuchFile(f"nothing in {folder} matches {pattern}")
         return None
-    parts = re.sub(r"^file:/*", "/", newest).split("/")
-    depth = next(i for i, part in enumerate(parts) if fnmatch(part, pattern) and i >= len(folder.rstrip("/").split("/")) - folder.startswith("file:"))
-    return "/".join(parts[: depth + 1])
+    inside = _plain(folder) + "/"
+    name = _plain(newest).partition(inside)[2].split("/")[0]
+    return f"{folder.rstrip('/')}/{name}"
 
 
 def newest_manifest(spark: SparkSession, raw: str) -> str:
@@ -144,7 +143,7 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
     # One literal per source: the list is the configured sources, not data.
     owner = F.coalesce(
         *[
-            F.when(_local(F.col("path")).startswith(_plain(path) + "/") | (_local(F.col("path")) == _plain(path)), F.lit(source))
+            F.when(F.col("path").contains(_plain(path) + "/") | F.col("path").endswith(_plain(path)), F.lit(source))
             for source, (path, _, _) in entries.items()
         ]
     )
@@ -159,13 +158,10 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
 
 
 def _plain(path: str) -> str:
+    """The path as it appears inside the full names Spark reports."""
     return re.sub(r"^file:/*", "/", path.rstrip("/"))
 
 
-def _local(path):
-    return F.regexp_replace(path, "^file:/*", "/")
-
-
 def _exists(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether every path exists; the reader checks that before any job."""
     try:
