@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldspine.llm import lines, winnow
+from goldspine.llm import lines, mixing, rules, winnow
 from goldspine.suite.tables import read
 
 
+def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return rules.summary(read(spark, sf, "documents"))
+
+
+def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.summary(read(spark, sf, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return lines.summary(read(spark, sf, "documents"))
 
@@ -17,10 +25,13 @@ def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
 }
 ORACLES = {
+    "op2_quality_rules": rules.ORACLE,
     "op7_line_dedup": lines.ORACLE,
     "op8_benchmark_decontamination": winnow.ORACLE,
 }
