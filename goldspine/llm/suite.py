@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldspine.llm import lines, mixing, rules, winnow
+from goldspine.llm import jaccard, lines, mixing, rules, winnow
 from goldspine.suite.tables import read
 
 
@@ -12,6 +12,10 @@ def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.summary(read(spark, sf, "documents"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.summary(read(spark, sf, "documents"))
+
+
 def op4_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.summary(read(spark, sf, "documents"))
 
@@ -26,6 +30,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_source_mixing": op4_source_mixing,
     "op7_line_dedup": op7_line_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
