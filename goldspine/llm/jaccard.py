@@ -21,14 +21,13 @@ from pyspark.sql import DataFrame, functions as F
 from goldspine.llm.components import components
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
 from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, text_bytes
+from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
 from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, words
 from goldspine.sinks.staging import stage
 
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 80
-#: Counters of the frequency sketch; their number bounds what is broadcast.
-SKETCH = 1 << 20
 
 _POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "i4"), ("at", "i4")])
 _MEMBER = np.dtype([("group", "u8"), ("hi", "u8"), ("lo", "u8"), ("id", "i8"), ("n", "i4")])
@@ -67,30 +66,17 @@ def bitmap(sets: np.ndarray) -> bytes:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often shingles come by, by the first bits of their hash, in rows of a few counters each."""
-    counts = np.zeros(SKETCH, np.int64)
+    """How often shingles come by, by the first bits of their hash."""
+    counts = np.zeros(SLOTS, np.int64)
     for _, data, offsets in chunks(batches, TEXT):
         for found in shingle_sets(data, offsets):
-            counts[(found >> U64(44)).astype(np.int64)] += 1  # a set may hold a counter twice: near enough
-    rows = counts.astype(np.int32).reshape(64, -1)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.arange(64, dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["part", "counts"]
-    )
-
-
-def _add(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.int32).astype(np.int64) for x in table.column("counts").to_pylist())
-    return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+            counts[slots(found)] += 1  # a set may hold a counter twice: near enough
+    yield partial(counts)
 
 
 def _rarity(rows: DataFrame) -> np.ndarray:
-    """The order of magnitude of each counter: 2**20 bytes, whatever the corpus."""
-    partial = rows.select(TEXT).mapInArrow(_sketch, "part int, counts binary")
-    total = np.zeros((64, SKETCH // 64), np.int64)
-    for part, counts in partial.groupBy("part").applyInArrow(_add, "part int, counts binary").collect():
-        total[part] = np.frombuffer(counts, np.int64)
-    # Steps of half a power of two.
-    return np.rint(2 * np.log2(total.ravel() + 1)).astype(np.uint8)
+    """The order of magnitude of each counter, in steps of half a power of two: a MiB for any corpus."""
+    return np.rint(2 * np.log2(total(rows.select(TEXT).mapInArrow(_sketch, PARTIAL)) + 1)).astype(np.uint8)
 
 
 def _prefixes(rarity: Broadcast, n_groups: int):
@@ -105,7 +91,7 @@ def _prefixes(rarity: Broadcast, n_groups: int):
                     if not n:
                         members.append((0, 0, 0, i, 0))
                         continue
-                    by_rarity = np.argsort(order[(found >> U64(44)).astype(np.int64)], kind="stable")
+                    by_rarity = np.argsort(order[slots(found)], kind="stable")
                     prefix = found[by_rarity[: _prefix_length(n)]]
                     group = int(mix(np.array([int(mix(prefix).sum()) ^ n], U64))[0])
                     members.append((group, int(found.sum()), int(mix(found).sum()), i, n))

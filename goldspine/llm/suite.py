@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldspine.llm import jaccard, lines, mixing, rules, winnow
+from goldspine.llm import jaccard, lines, mixing, repeats, rules, winnow
 from goldspine.suite.tables import read
 
 
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.summary(read(spark, sf, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return rules.summary(read(spark, sf, "documents"))
 
@@ -29,6 +33,7 @@ def op8_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_source_mixing": op4_source_mixing,
