@@ -76,49 +76,66 @@ def targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), budget: floa
     ).drop("_most", "_level")
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _hypergeometric(blocks: Column, mine: Column, drawn: Column, u: Column) -> Column:
     """How many of ``mine`` among ``blocks`` fall into ``drawn`` draws: inverse of the distribution at ``u``.
 
     The probabilities run over the mean and eight deviations either way, within
     what is possible, by the ratio of neighbouring ones from the mode.
     """
-    n, k, d = (x.cast("double") for x in (blocks, mine, drawn))
-    low, high = F.greatest(F.lit(0.0), d + k - n), F.least(k, d)
-    deviation = F.sqrt(F.greatest(F.lit(0.0), d * (k / n) * (1 - k / n) * (n - d) / F.greatest(n - 1, F.lit(1.0))))
-    mode = F.greatest(low, F.least(high, F.floor((d + 1) * (k + 1) / (n + 2)).cast("double")))
-    reach = F.ceil(_SIGMAS * deviation) + 1
-    first, last = F.greatest(low, mode - reach), F.least(high, mode + reach)
-
-    def ratio(x: Column) -> Column:  # of the probability of x + 1 to that of x
-        return (k - x) * (d - x) / ((x + 1) * (n - k - d + x + 1))
-
-    number = lambda x: x.cast("long")
     none = F.array().cast("array<bigint>")
-    up = F.when(last > mode, F.sequence(number(mode), number(last) - 1)).otherwise(none)
-    down = F.when(mode > first, F.sequence(number(mode) - 1, number(first), F.lit(-1).cast("long"))).otherwise(none)
-    start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"))
 
-    def added(a: Column, p: Column) -> Column:
-        return F.struct(p.alias("p"), (a["sum"] + p).alias("sum"))
+    def ratio(v: Column, x: Column) -> Column:  # of the probability of x + 1 to that of x
+        return (v["k"] - x) * (v["d"] - x) / ((x + 1) * (v["n"] - v["k"] - v["d"] + x + 1))
 
-    total = 1.0 + F.aggregate(up, start, lambda a, x: added(a, a["p"] * ratio(x.cast("double"))), lambda a: a["sum"]) + F.aggregate(
-        down, start, lambda a, x: added(a, a["p"] / ratio(x.cast("double"))), lambda a: a["sum"]
-    )
-    # Outwards from the mode: mode, then all above, then all below, until u of the mass is passed.
-    walk = F.struct(F.lit(1.0).alias("p"), F.lit(1.0).alias("sum"), mode.alias("x"))
+    def bounds(v: Column) -> Column:
+        n, k, d = v["n"], v["k"], v["d"]
+        share = k / F.greatest(n, F.lit(1.0))
+        deviation = F.sqrt(F.greatest(F.lit(0.0), d * share * (1 - share) * (n - d) / F.greatest(n - 1, F.lit(1.0))))
+        return F.struct(
+            n.alias("n"), k.alias("k"), d.alias("d"), v["u"].alias("u"),
+            F.greatest(F.lit(0.0), d + k - n).alias("low"), F.least(k, d).alias("high"),
+            F.floor((d + 1) * (k + 1) / (n + 2)).cast("double").alias("peak"), (F.ceil(_SIGMAS * deviation) + 1).cast("double").alias("reach"),
+        )
+
+    def ways(v: Column) -> Column:
+        mode = F.greatest(v["low"], F.least(v["high"], v["peak"]))
+        first, last = F.greatest(v["low"], mode - v["reach"]), F.least(v["high"], mode + v["reach"])
+        return F.struct(
+            *[v[c].alias(c) for c in ("n", "k", "d", "u")], mode.alias("mode"),
+            F.when(last > mode, F.sequence(mode.cast("long"), last.cast("long") - 1)).otherwise(none).alias("up"),
+            F.when(mode > first, F.sequence(mode.cast("long") - 1, first.cast("long"), F.lit(-1).cast("long"))).otherwise(none).alias("down"),
+        )
 
-    def step(a: Column, x: Column, p: Column, here: Column) -> Column:
-        going = a["sum"] <= u * total
+    def masses(v: Column) -> Column:
+        start = F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("sum"))
+        add = lambda a, p: _let(p, lambda q: F.struct(q.alias("p"), (a["sum"] + q).alias("sum")))
+        above = F.aggregate(v["up"], start, lambda a, x: add(a, a["p"] * ratio(v, x.cast("double"))), lambda a: a["sum"])
+        below = F.aggregate(v["down"], start, lambda a, x: add(a, a["p"] / ratio(v, x.cast("double"))), lambda a: a["sum"])
         return F.struct(
-            F.when(going, p).otherwise(a["p"]).alias("p"),
-            F.when(going, a["sum"] + p).otherwise(a["sum"]).alias("sum"),
-            F.when(going, here).otherwise(a["x"]).alias("x"),
+            *[v[c].alias(c) for c in ("n", "k", "d", "mode", "up", "down")], (v["u"] * (1.0 + above + below)).alias("aim")
         )
 
-    above = F.aggregate(up, walk, lambda a, x: step(a, x, a["p"] * ratio(x.cast("double")), x.cast("double") + 1))
-    restart = F.struct(F.lit(1.0).alias("p"), above["sum"].alias("sum"), above["x"].alias("x"))
-    below = F.aggregate(down, restart, lambda a, x: step(a, x, a["p"] / ratio(x.cast("double")), x.cast("double")))
-    return F.when(n <= 0, F.lit(0)).otherwise(below["x"]).cast("long")
+    def walk(v: Column) -> Column:
+        # Outwards from the mode: mode, then all above, then all below, until the aim is passed.
+        def step(a: Column, p: Column, here: Column) -> Column:
+            return F.when(a["sum"] > v["aim"], a).otherwise(
+                _let(p, lambda q: F.struct(q.alias("p"), (a["sum"] + q).alias("sum"), here.alias("x")))
+            )
+
+        start = F.struct(F.lit(1.0).alias("p"), F.lit(1.0).alias("sum"), v["mode"].alias("x"))
+        above = F.aggregate(v["up"], start, lambda a, x: step(a, a["p"] * ratio(v, x.cast("double")), x.cast("double") + 1))
+        return _let(above, lambda w: F.aggregate(
+            v["down"], F.struct(F.lit(1.0).alias("p"), w["sum"].alias("sum"), w["x"].alias("x")),
+            lambda a, x: step(a, a["p"] / ratio(v, x.cast("double")), x.cast("double")), lambda a: a["x"].cast("long"),
+        ))
+
+    given = F.struct(blocks.cast("double").alias("n"), mine.cast("double").alias("k"), drawn.cast("double").alias("d"), u.alias("u"))
+    return _let(given, lambda v: _let(bounds(v), lambda w: _let(ways(w), lambda x: _let(masses(x), walk))))
 
 
 def split(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
@@ -142,10 +159,11 @@ def split(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
 
         def draw(a: Column, x: Column) -> Column:
             u = _uniform(node, F.col("_shard"), x["h"], x["s"])  # noqa: B023
-            got = _hypergeometric(a["n"], x["n"], a["d"], u)
-            return F.struct((a["n"] - x["n"]).alias("n"), (a["d"] - got).alias("d"), F.concat(a["out"], F.array(got)).alias("out"))
+            return _let(_hypergeometric(a["n"], x["n"], a["d"], u), lambda got: F.struct(
+                (a["n"] - x["n"]).alias("n"), (a["d"] - got).alias("d"), F.concat(a["out"], F.array(got)).alias("out")
+            ))
 
-        drawn = nodes.select("_shard", "_q", F.aggregate("_q", start, draw, lambda a: a["out"]).alias("_left"))
+        drawn = stage(nodes.select("_shard", "_q", F.aggregate("_q", start, draw, lambda a: a["out"]).alias("_left")), "mix-tree")
         part = lambda n: F.transform("_q", lambda x, i: F.struct(x["h"].alias("h"), x["s"].alias("s"), n(x, i).alias("n")))
         left = part(lambda x, i: F.get("_left", i))
         right = part(lambda x, i: x["n"] - F.get("_left", i))
