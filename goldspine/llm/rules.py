@@ -155,6 +155,16 @@ def kept(rules: Sequence[Rule] = RULES) -> Column:
     return ~base_failed() & (F.size(broken(rules)) == 0)
 
 
+def filtered(docs: DataFrame, text_column: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` that the base rule and the table keep.
+
+    A filter would be pushed below the projections that measure and repeat
+    their work inside it; a column that depends on the task keeps it above.
+    """
+    rows = measured(docs, text_column).withColumn("_here", F.monotonically_increasing_id())
+    return rows.where(kept(rules) & (F.col("_here") >= 0)).select("_row.*")
+
+
 def summary(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return measured(docs.select("doc_id", "text")).select(
         "_row.doc_id", "_m.n_words", "_m.word_chars", "_m.n_symbols", "_m.n_dup_lines", "_m.n_repeat_words",
