@@ -22,12 +22,15 @@ from goldspine.llm.components import components
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
 from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, text_bytes
 from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
-from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, words
+from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, pieces, words
 from goldspine.sinks.staging import stage
 
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 80
+#: How often one partner is drawn for each node before all pairs left are compared.
+ROUNDS = 2
+_PAIRS = "a long, b long"
 
 _POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "i4"), ("at", "i4")])
 _MEMBER = np.dtype([("group", "u8"), ("hi", "u8"), ("lo", "u8"), ("id", "i8"), ("n", "i4")])
@@ -82,7 +85,7 @@ def _rarity(rows: DataFrame) -> np.ndarray:
 def _prefixes(rarity: Broadcast, n_groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = rarity.value
-        for batch in batches:
+        for batch in pieces(batches, TEXT):
             postings, members, documents, posted = [], [], [], set()
             for part, data, offsets in chunks([batch], TEXT):
                 for i, f, found in zip(part.column(ID).to_pylist(), part.column(FP).to_pylist(), shingle_sets(data, offsets)):
@@ -235,6 +238,30 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "zx", "zy").mapInArrow(_verify, "a long, b long")
 
 
+def _again(seed: int):
+    """Of a bucket of lists: each node outside a list's largest component with one node of it, drawn by hash."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        token, node, comp, n, at = (table.column(c).to_numpy() for c in ("token", "node", "comp", "n", "at"))
+        order = np.lexsort((node, comp, token))
+        token, node, comp, n, at = (x[order] for x in (token, node, comp, n, at))
+        runs = np.flatnonzero(_first_of(token, comp))
+        lengths = np.diff(np.append(runs, len(token)))
+        # Of each list, the run that is longest.
+        by_length = np.lexsort((-lengths, token[runs]))
+        largest = by_length[_first_of(token[runs][by_length])]
+        lists = np.cumsum(_first_of(token)) - 1
+        begin, length = runs[largest][lists], lengths[largest][lists]
+        drawn = mix(token.view(U64) ^ mix(node.view(U64) + U64(seed))) % length.astype(U64)
+        other = begin + drawn.astype(np.int64)
+        fits = (comp != comp[other]) & _passes(n, at, n[other], at[other])
+        found = np.unique(np.stack([node[fits], node[other][fits]]), axis=1)
+        return pa.table({"a": found[0], "b": found[1]})
+
+    return run
+
+
 def _cross(table: pa.Table) -> pa.Table:
     """Of a bucket of lists: pairs in different components that sizes, places and bitmaps allow."""
     table = table.combine_chunks()
@@ -281,6 +308,21 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), maps], names=["node", "bits"])
 
 
+def _open(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows, with their component, of lists that hold several."""
+    labelled = stage(
+        nodes.join(labels, "node", "left").select("token", "node", "n", "at", F.coalesce("component", "node").alias("comp")), "jaccard-labelled"
+    )
+    spread = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    return stage(labelled.join(stage(spread.select("token"), "jaccard-open"), "token"), "jaccard-open")
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components with further links."""
+    stars = labels.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(links))
+
+
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_id, _fp, n, component`` for each row of ``docs``: its set's size and the least id reachable by links.
 
@@ -292,8 +334,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     Sets are 64-bit hashes of shingles. What is shuffled: a row of 24 bytes for
     each shingle of a prefix (a fifth of all), packed; compressed texts of those
     documents that share a prefix shingle with another group; pairs. First each
-    group is compared with one hub; then only pairs of a list that are still in
-    different components, that sizes, places and bitmaps allow, are.
+    group is compared with one hub, then each node with one drawn from the
+    largest component of each of its lists; what is left are pairs of a list
+    in different components, that sizes, places and bitmaps allow.
     """
     spark = docs.sparkSession
     rows = keyed(docs, id_column, text_column)
@@ -325,24 +368,26 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     equal = of(COPIES).select(F.col("id").alias("a"), F.col("hub").alias("b"))
     links = stage(_verified(pairs, texts).unionByName(equal), "jaccard-links")
-    once = stage(components(links), "jaccard-components")
+    labels = components(links)
 
-    # Lists whose nodes are not all connected yet, and groups likewise.
-    nodes = lists.join(members.select("group", "node"), "group").select("token", "node", "n", "at").unionByName(
-        together.select(F.col("group").alias("token"), "node", "n", F.lit(0).alias("at"))
+    nodes = stage(
+        lists.join(members.select("group", "node"), "group").select("token", "node", "n", "at").unionByName(
+            together.select(F.col("group").alias("token"), "node", "n", F.lit(0).alias("at"))
+        ), "jaccard-nodes"
     )
-    labelled = stage(
-        nodes.join(once, "node", "left").select("token", "node", "n", "at", F.coalesce("component", "node").alias("comp")), "jaccard-nodes"
-    )
-    spread = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    left = labelled.join(stage(spread.select("token"), "jaccard-open"), "token")
+    # Rounds of one partner for each node that a list's largest component lacks, then
+    # all pairs of lists whose nodes are still not all connected.
+    for seed in range(ROUNDS):
+        labelled = _open(nodes, labels)
+        nodes = labelled.select("token", "node", "n", "at")
+        tried = labelled.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
+        pairs = stage(tried.groupBy("bucket").applyInArrow(_again(seed), _PAIRS).distinct(), "jaccard-pairs")
+        labels = _joined(labels, _verified(pairs, texts))
+    labelled = _open(nodes, labels)
     maps = texts.select(F.col(ID).alias("node"), "z").mapInArrow(_bitmaps, "node long, bits binary")
-    open_rows = left.join(maps, "node").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
-    crossed = open_rows.groupBy("bucket").applyInArrow(_cross, "a long, b long").distinct()
-    rest = stage(crossed.join(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "anti"), "jaccard-pairs")
-    more = _verified(rest, texts)
-    stars = once.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    final = components(stars.unionByName(more))
+    left = labelled.join(maps, "node").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
+    rest = stage(left.groupBy("bucket").applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")
+    final = _joined(labels, _verified(rest, texts))
 
     every = of(DOCUMENTS).select(F.col("id").alias(ID), F.col("fp").alias(FP), F.col("n").cast("long").alias("n"), F.col("hub").alias("node"))
     return every.join(final, "node", "left").select(ID, FP, "n", F.coalesce("component", "node").alias("component"))

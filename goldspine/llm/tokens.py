@@ -14,7 +14,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+#: Texts are handled a few at a time: arrays of eight bytes for each of theirs come and go.
+CHUNK_BYTES = 1 << 18
+#: What a task gathers before it packs and sends it.
+PIECE_BYTES = 8 << 20
 LANES = 2
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 U64 = np.uint64
@@ -82,15 +85,23 @@ def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Runs of rows of about a MiB of text (one text at least): rows, bytes, offsets."""
+def pieces(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """The batches, cut where they hold more text than a task should gather."""
+    for part, _, _ in chunks(batches, column, PIECE_BYTES):
+        yield part
+
+
+def chunks(
+    batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows of some bytes of text (one text at least): rows, bytes, offsets."""
     for batch in batches:
         if not batch.num_rows:
             continue
         data, offsets = joined(batch.column(column))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[start] + CHUNK_BYTES, "right")) - 1
+            stop = int(np.searchsorted(offsets, offsets[start] + most, "right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start), data[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
             start = stop
