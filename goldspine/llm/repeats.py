@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
 from goldspine.llm.keys import FP, ID, TEXT, buckets, keyed, public_id, text_bytes
 from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
-from goldspine.llm.tokens import U64, Spans, chunks, mix
+from goldspine.llm.tokens import U64, Spans, chunks, mix, pieces
 from goldspine.sinks.staging import stage
 
 WIDTH = 100
@@ -130,7 +130,7 @@ def _first_pass(n: int):
     """Runs to the bucket of their gram; what one task can tell already goes to its document's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, TEXT):
             found = [_runs(part, data, offsets) for part, data, offsets in chunks([batch], TEXT)]
             alone, repeated, unclear = _settle(np.concatenate(found) if found else np.zeros(0, _RUN))
             others = unclear[_first_of(unclear["gram"])].copy()
