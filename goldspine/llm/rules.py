@@ -44,14 +44,8 @@ RULES = (
 )
 
 
-def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """Each row of ``docs`` as the struct ``_row``, and the counts that the rules use as ``_m``.
-
-    Three-word windows are compared exactly: their hashes, with the position in
-    the low bits, are sorted; only windows whose hash has an equal neighbour
-    are built as text and compared again. That is n log n for one text of n
-    words, whatever it repeats.
-    """
+def counted(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """Each row of ``docs`` as the struct ``_row``, its words ``_w`` and lines ``_lines``, and counts of both."""
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     trimmed = F.btrim(text, F.lit(_BLANK))
     none = F.array().cast("array<string>")
@@ -59,7 +53,7 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     split = docs.select(whole, text.alias("_t"), words.alias("_w"))
     n = F.size("_w")
-    counted = split.select(
+    return split.select(
         "_row", "_w", n.cast("long").alias("_n"),
         F.char_length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.regexp_count("_t", F.lit(_SYMBOLS)).cast("long").alias("n_symbols"),
@@ -68,6 +62,16 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
         F.size(F.filter("_w", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("long").alias("n_stop"),
         F.expr("cast(pow(2, ceil(log2(greatest(size(_w), 2)))) as bigint)").alias("_room"),
     )
+
+
+def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """Each row of ``docs`` as the struct ``_row``, and the counts that the rules use as ``_m``.
+
+    Three-word windows are compared exactly: their hashes, with the position in
+    the low bits, are sorted; only windows whose hash has an equal neighbour
+    are built as text and compared again. That is n log n for one text of n
+    words, whatever it repeats.
+    """
     carried = ["_row", "_n", "word_chars", "n_symbols", "n_marks", "n_stop"]
     mask = F.col("_room") - 1
 
@@ -75,7 +79,7 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
         window = F.xxhash64(F.get("_w", i), F.get("_w", i + 1), F.get("_w", i + 2))
         return window.bitwiseAND(F.bitwise_not(mask)).bitwiseOR(i.cast("long"))
 
-    hashed = counted.select(
+    hashed = counted(docs, text_column).select(
         *carried, "_w", "_room",
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
