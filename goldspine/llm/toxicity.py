@@ -8,20 +8,21 @@ it will meet.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import pickle
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.feature import IDFModel
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.keys import FP, ID, TEXT, keyed, public_id
-from goldspine.llm.linear import MAX_TRAINING_ROWS, fit, hashed, in_sample, joined, probability, weighing
-from goldspine.llm.lines import lower_ascii
+from goldspine.llm.linear import MAX_TRAINING_ROWS, Model, best_threshold, constant, distinct_places, fit, stacked, take
+from goldspine.llm.tokens import ALNUM, U64, chunks, mix, words
 from goldspine.sinks.staging import stage
 
 FOLDS = 3
-#: The chain over the table ``labels``: whether prose is unfit, then toxic, then toxic though it reads as prose.
+#: The chain over the table ``labels``: unfit as prose, then toxic, then toxic though it reads as prose.
 CATEGORIES: Mapping[str, str] = {
     "unfit": "quality = 0",
     "toxic": "toxic = 1",
@@ -29,30 +30,66 @@ CATEGORIES: Mapping[str, str] = {
 }
 
 
-@dataclass(frozen=True)
+@dataclass
 class Chain:
-    """What ``fit_chain`` has learnt: weights of places, and a model for each category in order."""
-
-    weights: IDFModel | None
-    models: Mapping[str, LogisticRegressionModel | float]
-
-
-def _words() -> Column:
-    """Runs of letters and digits, A-Z lower-cased."""
-    return F.filter(F.split(lower_ascii(F.col(TEXT)), "[^\\p{L}\\p{N}]+", -1), lambda w: w != "")
-
-
-def _features(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    return hashed(keyed(docs, id_column, text_column).select(ID, FP, _words().alias("words")), "words")
-
-
-def _chained(rows: DataFrame, weights: IDFModel, before: list[str], name: str) -> DataFrame:
-    return joined(rows, ["features", *[f"p_{b}" for b in before]], name)
-
-
-def _class_balance(rows: DataFrame, label: str) -> tuple[float, float, int]:
-    n, positive = rows.agg(F.count(label), F.sum(label)).first()
-    return n, positive or 0.0, 0 < (positive or 0.0) < n
+    """What ``fit_chain`` has learnt: a model for each category, in order."""
+
+    models: dict[str, Model]
+
+    def predict(self, places: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(begins) - 1, 0))
+        for model in self.models.values():
+            out = np.column_stack([out, model.predict(places, begins, out)])
+        return out
+
+
+def learn(places: np.ndarray, begins: np.ndarray, targets: dict[str, np.ndarray], folds: np.ndarray) -> Chain:
+    """The chain of a sample: out-of-fold probabilities feed the next category and set its threshold."""
+    rows = len(begins) - 1
+    before = np.zeros((rows, 0))
+    models = {}
+    for name, y in targets.items():
+        if rows == 0 or y.min() == y.max():
+            # All rows or none: nothing to learn, the share is the probability.
+            model = constant(y.mean() if rows else 0.0, before.shape[1])
+            held_out = np.full(rows, y.mean() if rows else 0.0)
+        else:
+            model = fit(places, begins, before, y)
+            held_out = np.zeros(rows)
+            for fold in range(FOLDS):
+                inside, outside = np.flatnonzero(folds != fold), np.flatnonzero(folds == fold)
+                if not len(outside) or y[inside].min(initial=1) == y[inside].max(initial=0):
+                    held_out[outside] = y.mean()
+                    continue
+                part = fit(*take(places, begins, inside), before[inside], y[inside])
+                held_out[outside] = part.predict(*take(places, begins, outside), before[outside])
+            model.threshold = best_threshold(held_out, y)
+        models[name] = model
+        before = np.column_stack([before, held_out])
+    return Chain(models)
+
+
+def _sampler(names: list[str]):
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One task for the whole sample, whose size is a parameter."""
+        table = pa.Table.from_batches(batches)
+        order = np.argsort(table.column(ID).to_numpy(), kind="stable") if table.num_rows else []
+        table = table.take(pa.array(order, pa.int64()))
+        places, begins = stacked(table.column("places").to_numpy(zero_copy_only=False))
+        folds = mix(table.column(ID).to_numpy().view(U64)) % U64(FOLDS) if table.num_rows else np.zeros(0)
+        targets = {name: table.column(f"y_{name}").to_numpy().astype(float) for name in names}
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(places, begins, targets, folds))], pa.binary())], names=["chain"])
+
+    return train
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part, data, offsets in chunks(batches, TEXT):
+        (hashes,), begins = words(data, offsets, ALNUM)
+        places, starts = distinct_places(hashes, begins)
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(places))
+        names = [n for n in part.schema.names if n != TEXT]
+        yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], lists], names=[*names, "places"])
 
 
 def fit_chain(
@@ -62,59 +99,48 @@ def fit_chain(
     """Fit the chain on labelled documents, at most about ``most`` of them, drawn by a hash of the id.
 
     ``categories`` names each category with the condition on ``labels`` that
-    makes a row one. Rows whose condition is null are no examples of any
-    category. A category that all or no labelled rows have gets its share as a
-    constant probability.
+    makes a row one. Rows without an id or with a null condition are no
+    examples; of rows with one id the first by its marks counts. A category
+    that all or no labelled rows have gets its share as a constant probability,
+    and without any labelled document all probabilities are about 0.
     """
-    conditions = [F.expr(c).cast("double").alias(f"y_{name}") for name, c in categories.items()]
-    marks = labels.select(F.col(label_id).cast("long").alias(ID), *conditions).dropna().dropDuplicates([ID])
-    drawn = stage(marks.where(in_sample(marks.count(), ID, most=most)), "labels")
-    # At most some ``most`` rows of a few numbers.
-    rows = _features(docs.join(F.broadcast(drawn.select(F.col(ID).alias(id_column))), id_column, "semi"), id_column, text_column)
-    sample = stage(rows.join(F.broadcast(drawn), ID).withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), ID), F.lit(FOLDS))), "sample")
-    if not sample.take(1):
-        return Chain(None, {name: 0.0 for name in categories})
-    weights = weighing(sample)
-    known = stage(weights.transform(sample).drop("counts"), "sample")
-    models: dict[str, LogisticRegressionModel | float] = {}
     names = list(categories)
-    for k, name in enumerate(names):
-        rows = _chained(known, weights, names[:k], "x")
-        models[name] = _model(rows, f"y_{name}")
-        if k + 1 < len(names):
-            parts = [
-                _scored(_model(rows.where(F.col("fold") != fold), f"y_{name}"), rows.where(F.col("fold") == fold), f"p_{name}")
-                for fold in range(FOLDS)
-            ]
-            held_out = parts[0]
-            for part in parts[1:]:
-                held_out = held_out.unionByName(part)
-            known = stage(held_out.drop("x"), "sample")
-    return Chain(weights, models)
-
-
-def _model(rows: DataFrame, label: str) -> LogisticRegressionModel | float:
-    n, positive, mixed = _class_balance(rows, label)
-    return fit(rows, "x", label) if mixed else (positive / n if n else 0.0)
-
-
-def _scored(model: LogisticRegressionModel | float, rows: DataFrame, name: str) -> DataFrame:
-    return rows.withColumn(name, F.lit(model)) if isinstance(model, float) else probability(model, rows, "x", name)
+    conditions = [F.expr(c).cast("int").alias(f"y_{name}") for name, c in categories.items()]
+    marks = (
+        labels.select(F.col(label_id).cast("long").alias(ID), *conditions).dropna()
+        .groupBy(ID).agg(F.min(F.struct(*[f"y_{n}" for n in names])).alias("y")).select(ID, "y.*")
+    )
+    marks = stage(marks, "labels")
+    rows = marks.count()
+    share = 1.0 if rows <= most else most / rows
+    chosen = marks.where(F.pmod(F.xxhash64(F.lit("sample"), ID), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # At most some ``most`` rows of a few numbers.
+    labelled = keyed(docs, id_column, text_column).join(F.broadcast(chosen), ID).dropDuplicates([ID]).select(ID, *[f"y_{n}" for n in names], TEXT)
+    sample = stage(labelled.mapInArrow(_places, f"{ID} long, {', '.join(f'y_{n} int' for n in names)}, places array<int>"), "sample")
+    found = sample.repartition(1).mapInArrow(_sampler(names), "chain binary").collect()
+    return pickle.loads(found[0][0]) if found else learn(np.zeros(0, np.int32), np.zeros(1, np.int64), {n: np.zeros(0) for n in names}, np.zeros(0))
 
 
 def score(chain: Chain, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id, _fp`` and ``p_`` of each category for every row; texts that are null or empty have no words."""
-    if chain.weights is None:
-        return keyed(docs, id_column, text_column).select(ID, FP, *[F.lit(p).alias(f"p_{name}") for name, p in chain.models.items()])
-    rows = chain.weights.transform(_features(docs, id_column, text_column)).drop("counts")
+    """``_id, _fp``, ``p_`` and ``is_`` of each category for every row; null and empty texts have no words."""
     names = list(chain.models)
-    for k, name in enumerate(names):
-        rows = _scored(chain.models[name], _chained(rows, chain.weights, names[:k], "x"), f"p_{name}").drop("x")
-    return rows.select(ID, FP, *[f"p_{name}" for name in names])
+    shared = docs.sparkSession.sparkContext.broadcast(chain)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        learnt = shared.value
+        for part, data, offsets in chunks(batches, TEXT):
+            (hashes,), begins = words(data, offsets, ALNUM)
+            found = learnt.predict(*distinct_places(hashes, begins))
+            columns = [part.column(ID), part.column(FP)]
+            for k, name in enumerate(names):
+                columns += [pa.array(found[:, k]), pa.array(found[:, k] >= learnt.models[name].threshold)]
+            yield pa.RecordBatch.from_arrays(columns, names=[ID, FP, *[f"{p}_{n}" for n in names for p in ("p", "is")]])
+
+    schema = ", ".join(f"p_{n} double, is_{n} boolean" for n in names)
+    return keyed(docs, id_column, text_column).mapInArrow(run, f"{ID} long, {FP} long, {schema}")
 
 
 def summary(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    chain = fit_chain(docs, labels)
-    return score(chain, docs).select(
-        public_id("doc_id"), *[F.round(f"p_{name}", 6).alias(f"p_{name}") for name in CATEGORIES], (F.col("p_toxic") >= 0.5).alias("toxic")
+    return score(fit_chain(docs, labels), docs).select(
+        public_id("doc_id"), *[F.round(f"p_{name}", 6).alias(f"p_{name}") for name in CATEGORIES], F.col("is_toxic").alias("toxic")
     )

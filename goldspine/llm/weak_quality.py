@@ -8,65 +8,106 @@ linear scorer is trained on these labels and scores every document.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import pickle
+from collections.abc import Iterator, Mapping
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.keys import FP, ID, TEXT, keyed, public_id
-from goldspine.llm.linear import MAX_TRAINING_ROWS, fit, hashed, in_sample, probability, weighing
-from goldspine.llm.rules import counted
+from goldspine.llm.linear import MAX_TRAINING_ROWS, Model, distinct_places, fit, stacked
+from goldspine.llm.rules import STOP_WORDS
+from goldspine.llm.tokens import AS_WRITTEN, SPACED, U64, Spans, chunks, mix, words
 from goldspine.sinks.staging import stage
 
-#: A heuristic's measure, then where it votes bad (below, above) and where good (from, to).
+#: A heuristic's measure, then where it votes bad (below, above) and where good (from, to);
+#: some never vote good, since the absence of symbols, say, is no sign of quality.
 LABELLERS: Mapping[str, tuple[float, float, float, float]] = {
-    "symbol_ratio": (-1, 0.2, 0, 0.02),
-    "mark_ratio": (-1, 0.2, 0, 0.02),
-    "stop_ratio": (0.05, 2, 0.12, 0.6),
-    "mean_word_chars": (3, 7, 4, 6.5),
-    "distinct_ratio": (0.25, 2, 0.4, 1),
-    "dup_line_ratio": (-1, 0.4, 0, 0.1),
-    "capital_ratio": (-1, 0.4, 0, 0.2),
+    "symbols per word": (-1, 0.2, 2, -2),
+    "double marks per word": (-1, 0.2, 2, -2),
+    "stop words": (0.05, 0.7, 0.12, 0.5),
+    "bytes per word": (3, 8, 4, 7),
+    "distinct words": (0.25, 2, 0.4, 1),
+    "same word again": (-1, 0.1, 0, 0.02),
+    "repeated lines": (-1, 0.4, 2, -2),
+    "capitals": (-1, 0.4, 2, -2),
 }
-#: Buckets of a measure that the scorer sees beside the words.
-_STEPS = 8
+#: A text of fewer words gets no votes.
+MIN_WORDS = 10
+#: Steps in which the scorer sees each measure, beside the words.
+_STEPS = 10
 BAD, GOOD, SILENT = "0", "1", "-"
 
 
-def _measured(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    rows = counted(keyed(docs, id_column, text_column), TEXT)
-    words, lines = F.greatest(F.col("_n"), F.lit(1)), F.greatest(F.size("_lines"), F.lit(1))
-    values = {
-        "symbol_ratio": F.col("n_symbols") / words,
-        "mark_ratio": F.col("n_marks") / words,
-        "stop_ratio": F.col("n_stop") / words,
-        "mean_word_chars": F.col("word_chars") / words,
-        "distinct_ratio": F.size(F.array_distinct("_w")) / words,
-        "dup_line_ratio": (F.size("_lines") - F.size(F.array_distinct("_lines"))) / lines,
-        "capital_ratio": F.regexp_count(f"_row.{TEXT}", F.lit("[A-Z]")) / F.greatest(F.col("word_chars"), F.lit(1)),
-    }
-    return rows.select(f"_row.{ID}", f"_row.{FP}", "_w", "_n", F.struct(*[v.alias(k) for k, v in values.items()]).alias("m"))
-
-
-def _votes() -> Column:
-    """One letter for each heuristic; a text of under ten words is left to the model."""
-    out = []
-    for name, (low, high, first, last) in LABELLERS.items():
-        value = F.col(f"m.{name}")
-        out.append(
-            F.when(F.col("_n") < 10, SILENT).when((value < low) | (value > high), BAD)
-            .when((value >= first) & (value <= last), GOOD).otherwise(SILENT)
-        )
-    return F.concat(*out)
-
-
-def _words() -> Column:
-    """Words as they are written, and the measures in steps."""
-    steps = [
-        F.concat(F.lit(f"{name}:"), F.least(F.lit(_STEPS), F.floor(F.col(f"m.{name}") * (_STEPS if name != "mean_word_chars" else 1))).cast("string"))
-        for name in LABELLERS
-    ]
-    return F.concat("_w", F.array(*steps))
+def _per_text(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    running = np.concatenate([[0], np.cumsum(marks)])
+    return running[offsets[1:]] - running[offsets[:-1]]
+
+
+def _stop_hashes() -> np.ndarray:
+    data = "\n".join(STOP_WORDS).encode()
+    return np.unique(words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), SPACED)[0][0])
+
+
+def measure(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, its measures in the order of ``LABELLERS``, and its distinct places."""
+    rows = len(offsets) - 1
+    (folded,), begins = words(data, offsets, SPACED)
+    (written,), _ = words(data, offsets, AS_WRITTEN)
+    n = np.diff(begins)
+    some = np.maximum(n, 1)
+    blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    chars = _per_text(~blank, offsets)
+    stops = _per_text(np.isin(folded, _stop_hashes()), begins)
+    places, starts = distinct_places(written, begins)
+    # Lines with a word, by their hash.
+    newline = data == 0x0A
+    line_starts = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(newline) + 1]))
+    line_starts = line_starts[line_starts < len(data)]
+    line_ends = np.append(line_starts[1:], len(data)) if len(line_starts) else line_starts
+    running = np.concatenate([[0], np.cumsum(~blank)])
+    full = running[line_ends] > running[line_starts]
+    line_starts, line_ends = line_starts[full], line_ends[full]
+    # A line ends before its newline, if it has one.
+    line_ends = line_ends - (newline[line_ends - 1] if len(line_ends) else 0)
+    owner = np.searchsorted(offsets, line_starts, "right") - 1
+    hashes = Spans(data).hash(line_starts, line_ends) if len(line_starts) else np.zeros(0, U64)
+    lines = np.bincount(owner, minlength=rows)
+    distinct = np.bincount(np.unique(np.stack([owner.astype(U64), hashes]), axis=1)[0].astype(np.int64), minlength=rows) if len(owner) else lines
+    again = np.zeros(len(written), bool)
+    again[1:] = written[1:] == written[:-1]
+    again[begins[:-1][n > 0]] = False
+    pair = np.zeros(len(data), bool)
+    pair[1:] = (data[1:] == 0x21) & (data[:-1] == 0x21)
+    measures = np.column_stack([
+        _per_text(np.isin(data, np.frombuffer(b"#*$%&|<>", np.uint8)), offsets) / some,
+        _per_text(pair, offsets) / some,
+        stops / some,
+        chars / some,
+        np.diff(starts) / some,
+        _per_text(again, begins) / some,
+        (lines - distinct) / np.maximum(lines, 1),
+        _per_text((data >= 0x41) & (data <= 0x5A), offsets) / np.maximum(chars, 1),
+    ])
+    # The scorer's rows: distinct words as written, and each measure's step.
+    steps = np.minimum(_STEPS, (measures * np.where(np.array(list(LABELLERS)) == "bytes per word", 1, _STEPS)).astype(np.int64))
+    marked = mix((steps * len(LABELLERS) + np.arange(len(LABELLERS))).astype(U64) + U64(1 << 40))
+    per_row = np.concatenate([written, marked.ravel()])
+    row = np.concatenate([np.repeat(np.arange(rows), n), np.repeat(np.arange(rows), len(LABELLERS))])
+    order = np.argsort(row, kind="stable")
+    places, starts = distinct_places(per_row[order], np.concatenate([[0], np.cumsum(n + len(LABELLERS))]))
+    return n, measures, places, starts
+
+
+def votes(n: np.ndarray, measures: np.ndarray) -> list[str]:
+    """One letter for each heuristic; too short a text is left to the model."""
+    low, high, first, last = np.array(list(LABELLERS.values())).T
+    bad = (measures < low) | (measures > high)
+    good = (measures >= first) & (measures <= last) & ~bad
+    letters = np.where(bad, BAD, np.where(good, GOOD, SILENT))
+    letters[n < MIN_WORDS] = SILENT
+    return ["".join(row) for row in letters]
 
 
 def estimate(patterns: Mapping[str, int], rounds: int = 100) -> tuple[dict[str, float], dict[str, dict[str, float]]]:
@@ -74,60 +115,90 @@ def estimate(patterns: Mapping[str, int], rounds: int = 100) -> tuple[dict[str,
 
     Patterns are at most three to the power of the heuristics, whatever the
     corpus. Votes are taken as independent given the class; estimation begins
-    at the majority of the votes.
+    at the share of good votes.
     """
-    names = list(patterns)
+    names = sorted(patterns)
     if not names:
         return {}, {}
     weight = np.array([patterns[p] for p in names], float)
-    votes = np.array([["01-".index(v) for v in p] for p in names])
-    good, bad = (votes == 1).sum(1), (votes == 0).sum(1)
+    letters = np.array([[(BAD + GOOD + SILENT).index(v) for v in p] for p in names])
+    good, bad = (letters == 1).sum(1), (letters == 0).sum(1)
     posterior = (good + 1) / (good + bad + 2)
-    one_hot = np.eye(3)[votes]
+    one_hot = np.eye(3)[letters]
+    heard = one_hot * [1, 1, 0]  # silence says nothing
     for _ in range(rounds):
         prior = np.clip((weight * posterior).sum() / weight.sum(), 1e-6, 1 - 1e-6)
         given_good = np.einsum("p,plv->lv", weight * posterior, one_hot) + 0.5
         given_bad = np.einsum("p,plv->lv", weight * (1 - posterior), one_hot) + 0.5
         given_good /= given_good.sum(1, keepdims=True)
         given_bad /= given_bad.sum(1, keepdims=True)
-        ratio = np.log((1 - prior) / prior) + np.einsum("plv,lv->p", one_hot, np.log(given_bad) - np.log(given_good))
+        ratio = np.log((1 - prior) / prior) + np.einsum("plv,lv->p", heard, np.log(given_bad) - np.log(given_good))
         posterior = 1 / (1 + np.exp(np.clip(ratio, -50, 50)))
-    accuracy = {
-        name: {"good": float(given_good[k, 1] / max(given_good[k, :2].sum(), 1e-12)), "bad": float(given_bad[k, 0] / max(given_bad[k, :2].sum(), 1e-12))}
-        for k, name in enumerate(LABELLERS)
-    }
+    voting = lambda given, k, v: float(given[k, v] / max(given[k, :2].sum(), 1e-12))
+    accuracy = {name: {"good": voting(given_good, k, 1), "bad": voting(given_bad, k, 0)} for k, name in enumerate(LABELLERS)}
     return dict(zip(names, posterior.tolist())), accuracy
 
 
+def _voter(share: float):
+    """Votes of every row, and the places of those drawn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, data, offsets in chunks(batches, TEXT):
+            n, measures, places, starts = measure(data, offsets)
+            keys = mix(part.column(ID).to_numpy().view(U64) ^ mix(part.column(FP).to_numpy().view(U64)))
+            chosen = (keys >> U64(33)).astype(np.float64) < share * (1 << 31)
+            lists = [places[a:b] if c else None for a, b, c in zip(starts[:-1], starts[1:], chosen)]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(ID), part.column(FP), pa.array(votes(n, measures)), pa.array(lists, pa.list_(pa.int32()))], names=[ID, FP, "votes", "places"]
+            )
+
+    return run
+
+
+def _trainer(posterior: Mapping[str, float]):
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One task for the whole sample, whose size is a parameter."""
+        table = pa.Table.from_batches(batches)
+        order = np.lexsort((table.column(FP).to_numpy(), table.column(ID).to_numpy()))
+        table = table.take(pa.array(order, pa.int64()))
+        places, begins = stacked(table.column("places").to_numpy(zero_copy_only=False))
+        y = np.array([posterior[v] for v in table.column("votes").to_pylist()])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(places, begins, np.zeros((len(y), 0)), y))], pa.binary())], names=["model"])
+
+    return train
+
+
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most: int = MAX_TRAINING_ROWS) -> DataFrame:
     """``_id, _fp, votes, posterior, score`` for every row.
 
     The scorer is fitted on about ``most`` documents at most, drawn by a hash of
     id and text; votes and their counts cover all. Null and empty texts, and
-    texts of under ten words, get no votes; their posterior is the prior. If
-    the labels of the sample are all alike, the posterior is the score.
+    texts of under ten words, get no votes: their posterior is the share of good
+    documents. An empty table stays empty.
     """
-    rows = _measured(docs, id_column, text_column)
-    votes = stage(rows.select(ID, FP, _votes().alias("votes")), "votes")
-    counts = {r["votes"]: r["n"] for r in votes.groupBy("votes").agg(F.count("*").alias("n")).collect()}
-    posterior, _ = estimate(counts)
     spark = docs.sparkSession
-    # A row for each pattern that occurs, at most three to the power of the heuristics.
-    table = F.broadcast(spark.createDataFrame(list(posterior.items()), "votes string, posterior double"))
-    labelled = hashed(rows.select(ID, FP, _votes().alias("votes"), _words().alias("words")), "words").join(table, "votes")
-    drawn = in_sample(sum(counts.values()), ID, FP, most=most)
-    sample = stage(hashed(rows.where(drawn).select(_votes().alias("votes"), _words().alias("words")), "words").join(table, "votes"), "sample")
-    weighted = sample.select(
-        "counts", F.explode(F.array(
-            F.struct(F.lit(1.0).alias("y"), F.col("posterior").alias("w")), F.struct(F.lit(0.0).alias("y"), (1 - F.col("posterior")).alias("w"))
-        )).alias("l"),
-    ).select("counts", "l.*").where("w > 0.001")
-    low, high = (sample.agg(F.min("posterior"), F.max("posterior")).first() or (None, None))
-    if low is None or low > 0.5 or high < 0.5:
-        return labelled.select(ID, FP, "votes", "posterior", F.col("posterior").alias("score"))
-    weights = weighing(sample)
-    model = fit(weights.transform(weighted), "features", "y", "w", 0.001)
-    return probability(model, weights.transform(labelled), "features", "score").select(ID, FP, "votes", "posterior", "score")
+    rows = keyed(docs, id_column, text_column)
+    total = rows.count()
+    voted = stage(rows.mapInArrow(_voter(min(1.0, most / max(total, 1))), f"{ID} long, {FP} long, votes string, places array<int>"), "votes")
+    counts = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
+    posterior, _ = estimate(counts)
+    sample = voted.where(F.col("places").isNotNull()).select(ID, FP, "votes", "places")
+    found = sample.repartition(1).mapInArrow(_trainer(posterior), "model binary").collect() if posterior else []
+    learnt: Model | None = pickle.loads(found[0][0]) if found else None
+    shared = spark.sparkContext.broadcast((learnt, posterior))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, known = shared.value
+        for part, data, offsets in chunks(batches, TEXT):
+            n, measures, places, starts = measure(data, offsets)
+            given = votes(n, measures)
+            scores = model.predict(places, starts, np.zeros((part.num_rows, 0)))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(ID), part.column(FP), pa.array(given), pa.array([known[v] for v in given], pa.float64()), pa.array(scores)],
+                names=[ID, FP, "votes", "posterior", "score"],
+            )
+
+    return rows.mapInArrow(run, f"{ID} long, {FP} long, votes string, posterior double, score double")
 
 
 def summary(docs: DataFrame) -> DataFrame:
