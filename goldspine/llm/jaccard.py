@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.components import components
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
-from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, text_bytes
+from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
 from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
 from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, pieces, words
 from goldspine.sinks.staging import stage
@@ -339,6 +339,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     in different components, that sizes, places and bitmaps allow.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = keyed(docs, id_column, text_column)
     n_groups = buckets(spark, text_bytes(rows))
     rarity = spark.sparkContext.broadcast(_rarity(rows))

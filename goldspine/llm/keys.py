@@ -27,11 +27,25 @@ def public_id(name: str) -> Column:
     return F.when(F.col(ID) != NO_ID, F.col(ID)).alias(name)
 
 
-def buckets(spark: SparkSession, total_bytes: int, bytes_per_bucket: int = 16 << 20) -> int:
-    """So many groups that each fits a task, and some for each shuffle partition."""
+def buckets(spark: SparkSession, total_bytes: int) -> int:
+    """So many groups that each fits a task, and some for each shuffle partition.
+
+    A group stands for 4 MiB of texts; beyond 64 GiB it grows with the corpus,
+    to 64 MiB at most.
+    """
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2 * partitions, -(-total_bytes // bytes_per_bucket))
+    return max(2 * partitions, -(-total_bytes // min(max(4 << 20, total_bytes >> 14), 64 << 20)))
 
 
 def text_bytes(rows: DataFrame) -> int:
     return int(rows.agg(F.sum(F.octet_length(TEXT))).first()[0] or 0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python a thousand at a time, unless the session says otherwise.
+
+    Ten thousand, the default, are tens of MB outside the heap for each task.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting, "10000") == "10000":
+        spark.conf.set(setting, "1000")

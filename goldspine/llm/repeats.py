@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
-from goldspine.llm.keys import FP, ID, TEXT, buckets, keyed, public_id, text_bytes
+from goldspine.llm.keys import FP, ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
 from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
 from goldspine.llm.tokens import U64, Spans, chunks, mix, pieces
 from goldspine.sinks.staging import stage
@@ -356,6 +356,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     the bucket of their own hash, once from each bucket of documents.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = keyed(docs, id_column, text_column)
     n = buckets(spark, text_bytes(rows))
     second = stage(

@@ -86,9 +86,17 @@ def joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches, cut where they hold more text than a task should gather."""
-    for part, _, _ in chunks(batches, column, PIECE_BYTES):
-        yield part
+    """The rows in batches of about as much text as a task should gather (one text at least)."""
+    held, size = [], 0
+    for batch in batches:
+        for part, data, _ in chunks([batch], column, PIECE_BYTES):
+            if held and size + len(data) > PIECE_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += len(data)
+    if held:
+        yield pa.concat_batches(held)
 
 
 def chunks(
@@ -119,6 +127,9 @@ def _fold_table(separators: Iterable[int]) -> np.ndarray:
 SPACED = _fold_table([0x20, *range(0x09, 0x0E)])
 #: Byte 0 is a word's byte there; it gets a value no other byte of UTF-8 has.
 SPACED[0] = 0xFF
+#: The same words with their capitals.
+AS_WRITTEN = SPACED.copy()
+AS_WRITTEN[ord("A") : ord("Z") + 1] = np.arange(ord("A"), ord("Z") + 1)
 #: Words are runs of ASCII letters, digits and everything beyond ASCII.
 ALNUM = _fold_table(b for b in range(128) if not chr(b).isalnum())
 
