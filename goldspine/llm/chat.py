@@ -5,9 +5,9 @@ context and its text as the only part to learn. A turn is written as
 
     ### Role: text</turn>\n
 
-with ``\\``, ``#`` and ``<`` of roles and texts escaped by a backslash (and the
-colon of a role), so no text can hold a mark, and unescaping gives the text
-back. Turns after the last assistant turn, or a conversation without one, come
+with the backslash, ``#`` and ``<`` of roles and texts (and the colon of a role)
+written as a backslash and a letter, so no text can hold a mark, and unescaping
+gives the text back. Turns after the last assistant turn, or a conversation without one, come
 as a last example with nothing to learn, so that no turn is lost.
 """
 
@@ -19,12 +19,22 @@ _OPEN, _MIDDLE, _CLOSE = "### ", ": ", "</turn>\n"
 TRAINED = "assistant"
 
 
-def escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([\\#<:])", r"\\$1")
+#: What a character is written as; the backslash itself comes first, and last on the way back.
+_ESCAPES = (("\\", "\\b"), ("#", "\\h"), ("<", "\\l"))
+_ROLE_ESCAPES = (*_ESCAPES, (":", "\\c"))
 
 
-def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+def escape(text: Column, escapes=_ESCAPES) -> Column:
+    for plain, written in escapes:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def unescape(text: Column, escapes=_ESCAPES) -> Column:
+    """Every backslash of an escaped text begins one of the escapes, so they can be undone one after the other."""
+    for plain, written in reversed(escapes):
+        text = F.replace(text, F.lit(written), F.lit(plain))
+    return text
 
 
 def format_examples(
@@ -48,7 +58,7 @@ def format_examples(
     )
     shown = said.select(
         "conv_id",
-        F.struct("turn", "role", "text", escape(F.col("role")).alias("r"), escape(F.col("text")).alias("t")).alias("x"),
+        F.struct("turn", "role", "text", escape(F.col("role"), _ROLE_ESCAPES).alias("r"), escape(F.col("text")).alias("t")).alias("x"),
     )
     whole = shown.groupBy("conv_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
     # A column of its own: used twice below, worked out once.
@@ -88,9 +98,9 @@ def read_back(examples: DataFrame) -> DataFrame:
 
     def turn(piece: Column) -> Column:
         body = F.substring(piece, len(_OPEN) + 1, 1 << 30)
-        role = F.regexp_extract(body, r"(?s)^((?:\\.|[^\\:])*): ", 1)
-        text = F.regexp_replace(body, r"(?s)^(?:\\.|[^\\:])*: ", "")
-        return F.struct(unescape(role).alias("role"), unescape(text).alias("text"))
+        role = F.substring_index(body, _MIDDLE, 1)
+        text = F.substring(body, F.char_length(role) + len(_MIDDLE) + 1, F.lit(1 << 30))
+        return F.struct(unescape(role, _ROLE_ESCAPES).alias("role"), unescape(text).alias("text"))
 
     return per_conversation.select(
         "conv_id", F.transform(pieces, turn).alias("turns"), F.transform("learnt", lambda x: x["said"]).alias("learnt"), "formatted_chars"
@@ -112,7 +122,7 @@ WITH said AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), sized AS (
-  SELECT *, 15 - 1 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#<:])', '\\\1', 'g')) AS chars,
+  SELECT *, 15 - 1 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) AS chars,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS p, count(*) OVER (PARTITION BY conv_id) AS n
   FROM said
 ), grown AS (

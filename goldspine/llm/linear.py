@@ -15,7 +15,7 @@ PLACE_BITS = 18
 #: A model has as many weights.
 PLACES = 1 << PLACE_BITS
 #: Places of fewer rows of the sample are left out.
-MIN_ROWS = 3
+MIN_ROWS = 2
 #: So many rows of the usual share count for each place beside those that have it.
 SMOOTHING = 2.0
 #: Rows that a model is fitted on, about; of more, rows are drawn by a hash.
@@ -64,7 +64,7 @@ def log_ratios(places: np.ndarray, begins: np.ndarray, y: np.ndarray) -> np.ndar
     return np.where(seen >= MIN_ROWS, np.log(odds * (1 - share) / share), 0.0)
 
 
-def fit(places: np.ndarray, begins: np.ndarray, beside: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 80) -> Model:
+def fit(places: np.ndarray, begins: np.ndarray, beside: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds: int = 60) -> Model:
     """The logistic model of targets in [0, 1], by accelerated gradient steps from zero."""
     rows, k = len(begins) - 1, beside.shape[1]
     ratios = log_ratios(places, begins, y)

@@ -70,13 +70,14 @@ def learn(places: np.ndarray, begins: np.ndarray, targets: dict[str, np.ndarray]
 
 
 def _sampler(names: list[str]):
+    schema = pa.schema([(ID, pa.int64()), *[(f"y_{n}", pa.int32()) for n in names], ("places", pa.list_(pa.int32()))])
+
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One task for the whole sample, whose size is a parameter."""
-        table = pa.Table.from_batches(batches)
-        order = np.argsort(table.column(ID).to_numpy(), kind="stable") if table.num_rows else []
-        table = table.take(pa.array(order, pa.int64()))
+        table = pa.Table.from_batches(batches, schema)
+        table = table.take(pa.array(np.argsort(table.column(ID).to_numpy(), kind="stable"), pa.int64()))
         places, begins = stacked(table.column("places").to_numpy(zero_copy_only=False))
-        folds = mix(table.column(ID).to_numpy().view(U64)) % U64(FOLDS) if table.num_rows else np.zeros(0)
+        folds = mix(table.column(ID).to_numpy().view(U64)) % U64(FOLDS)
         targets = {name: table.column(f"y_{name}").to_numpy().astype(float) for name in names}
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(places, begins, targets, folds))], pa.binary())], names=["chain"])
 
@@ -117,8 +118,7 @@ def fit_chain(
     # At most some ``most`` rows of a few numbers.
     labelled = keyed(docs, id_column, text_column).join(F.broadcast(chosen), ID).dropDuplicates([ID]).select(ID, *[f"y_{n}" for n in names], TEXT)
     sample = stage(labelled.mapInArrow(_places, f"{ID} long, {', '.join(f'y_{n} int' for n in names)}, places array<int>"), "sample")
-    found = sample.repartition(1).mapInArrow(_sampler(names), "chain binary").collect()
-    return pickle.loads(found[0][0]) if found else learn(np.zeros(0, np.int32), np.zeros(1, np.int64), {n: np.zeros(0) for n in names}, np.zeros(0))
+    return pickle.loads(sample.repartition(1).mapInArrow(_sampler(names), "chain binary").first()[0])
 
 
 def score(chain: Chain, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
