@@ -21,15 +21,19 @@ from pyspark.sql import DataFrame, functions as F
 from goldspine.llm.components import components
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
 from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
-from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
+from goldspine.llm.sketch import PARTIAL, half_powers, partial, slots, total
 from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, pieces, words
 from goldspine.sinks.staging import stage
 
 SHINGLE = 5
 #: Similarity in hundredths.
 PERCENT = 80
+#: Shingles are counted by so many bits of their hash.
+COUNTER_BITS = 23
+#: Bits of a bitmap for each shingle.
+SPREAD = 8
 #: How often one partner is drawn for each node before all pairs left are compared.
-ROUNDS = 2
+ROUNDS = 1
 _PAIRS = "a long, b long"
 
 _POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "i4"), ("at", "i4")])
@@ -57,12 +61,12 @@ def _prefix_length(n: int) -> int:
 
 
 def bitmap(sets: np.ndarray) -> bytes:
-    """A bit for each shingle, of as many bits as there are shingles, to a power of two.
+    """A bit for each shingle, of ``SPREAD`` times as many bits as there are shingles, to a power of two.
 
     Bits on one side only are shingles on one side only, so two bitmaps bound
     the overlap of their sets from above.
     """
-    bits = max(6, int(len(sets) - 1).bit_length())
+    bits = max(6, int(SPREAD * len(sets) - 1).bit_length())
     marks = np.zeros(1 << bits, bool)
     marks[(sets >> U64(64 - bits)).astype(np.int64)] = True
     return np.packbits(marks).tobytes()
@@ -70,16 +74,17 @@ def bitmap(sets: np.ndarray) -> bytes:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often shingles come by, by the first bits of their hash."""
-    counts = np.zeros(SLOTS, np.int64)
+    counts = np.zeros(1 << COUNTER_BITS, np.int32)
     for _, data, offsets in chunks(batches, TEXT):
         for found in shingle_sets(data, offsets):
-            counts[slots(found)] += 1  # a set may hold a counter twice: near enough
+            counts[slots(found, COUNTER_BITS)] += 1  # a set may hold a counter twice: near enough
     yield partial(counts)
 
 
 def _rarity(rows: DataFrame) -> np.ndarray:
-    """The order of magnitude of each counter, in steps of half a power of two: a MiB for any corpus."""
-    return np.rint(2 * np.log2(total(rows.select(TEXT).mapInArrow(_sketch, PARTIAL)) + 1)).astype(np.uint8)
+    """The order of magnitude of each counter: 8 MiB for any corpus."""
+    found = total(rows.select(TEXT).mapInArrow(_sketch, PARTIAL), half_powers)
+    return found if len(found) else np.zeros(1 << COUNTER_BITS, np.uint8)
 
 
 def _prefixes(rarity: Broadcast, n_groups: int):
@@ -94,7 +99,7 @@ def _prefixes(rarity: Broadcast, n_groups: int):
                     if not n:
                         members.append((0, 0, 0, i, 0))
                         continue
-                    by_rarity = np.argsort(order[slots(found)], kind="stable")
+                    by_rarity = np.argsort(order[slots(found, COUNTER_BITS)], kind="stable")
                     prefix = found[by_rarity[: _prefix_length(n)]]
                     group = int(mix(np.array([int(mix(prefix).sum()) ^ n], U64))[0])
                     members.append((group, int(found.sum()), int(mix(found).sum()), i, n))
@@ -262,44 +267,70 @@ def _again(seed: int):
     return run
 
 
+#: Pairs whose bitmaps are compared at once.
+_AT_ONCE = 1 << 20
+
+
 def _cross(table: pa.Table) -> pa.Table:
     """Of a bucket of lists: pairs in different components that sizes, places and bitmaps allow."""
     table = table.combine_chunks()
     token, node, comp, n, at = (table.column(c).to_numpy() for c in ("token", "node", "comp", "n", "at"))
-    maps = table.column("bits").to_pylist()
-    order = np.lexsort((n, token))
-    starts = np.flatnonzero(_first_of(token[order]))
-    stops = np.append(starts[1:], len(order))
-    seen: set[tuple[int, int]] = set()
-    for start, stop in zip(starts.tolist(), stops.tolist()):
-        rows = order[start:stop]
-        for k, i in enumerate(rows[:-1]):
-            rest = rows[k + 1 :]
-            rest = rest[: np.searchsorted(n[rest], 100 * n[i] // PERCENT, "right")]
-            rest = rest[(comp[rest] != comp[i])]
-            rest = rest[_passes(n[i], at[i], n[rest], at[rest])] if len(rest) else rest
-            for j in rest.tolist():
-                pair = (min(node[i], node[j]), max(node[i], node[j]))
-                if pair not in seen and _bitmaps_allow(maps[i], int(n[i]), maps[j], int(n[j])):
-                    seen.add(pair)
-    a, b = (np.array([p[s] for p in seen], np.int64) for s in (0, 1))
-    return pa.table({"a": a, "b": b})
-
-
-def _bitmaps_allow(a: bytes, n_a: int, b: bytes, n_b: int) -> bool:
-    left, right = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(left) > len(right):  # halve by the last bit of the place, which keeps the first bits of the hash
-        left = _fold(left)
-    while len(right) > len(left):
-        right = _fold(right)
-    # Bits on one side only: shingles on one side only, in both sets together.
-    apart = int(np.bitwise_count(left ^ right).sum())
-    return n_a + n_b - apart >= 2 * int(_overlap(n_a, n_b))
-
-
-def _fold(bits: np.ndarray) -> np.ndarray:
-    pairs = np.unpackbits(bits)
-    return np.packbits(pairs[0::2] | pairs[1::2])
+    bits = table.column("bits")
+    order = np.lexsort((node, n, token))
+    token, node, comp, n, at = (x[order] for x in (token, node, comp, n, at))
+    nodes, first, which = np.unique(node, return_index=True, return_inverse=True)
+    maps = [np.frombuffer(bits[int(order[k])].as_buffer(), np.uint64) for k in first]
+    sizes = n[first].astype(np.int64)
+    found, held, waiting = [np.zeros(0, np.int64)], [], 0
+
+    def sift() -> None:
+        pairs = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
+        found.append(pairs[_bitmaps_allow(maps, sizes, pairs // len(nodes), pairs % len(nodes))])
+
+    # Each row with the one after it in its list, then with the second after it, and so on.
+    left = np.arange(len(token))
+    step = 0
+    while len(left):
+        step += 1
+        left = left[left + step < len(token)]
+        left = left[(token[left] == token[left + step]) & (PERCENT * n[left + step].astype(np.int64) <= 100 * n[left].astype(np.int64))]
+        right = left + step
+        apart = (comp[left] != comp[right]) & _passes(n[left], at[left], n[right], at[right])
+        one, other = which[left[apart]], which[right[apart]]
+        held.append(np.unique(np.minimum(one, other) * len(nodes) + np.maximum(one, other)))
+        waiting += len(held[-1])
+        if waiting > _AT_ONCE:
+            sift()
+            held, waiting = [], 0
+    sift()
+    pairs = np.unique(np.concatenate(found))
+    return pa.table({"a": nodes[pairs // max(1, len(nodes))], "b": nodes[pairs % max(1, len(nodes))]})
+
+
+def _bitmaps_allow(maps: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs can be similar: bits on one side only are shingles on one side only, in both sets together."""
+    allowed = np.zeros(len(left), bool)
+    widths = np.array([len(m) for m in maps], np.int64)
+    narrow = np.minimum(widths[left], widths[right])
+    for width in np.unique(narrow).tolist():
+        pairs = np.flatnonzero(narrow == width)
+        used, where = np.unique(np.concatenate([left[pairs], right[pairs]]), return_inverse=True)
+        matrix = np.stack([_folded(maps[k], width) for k in used.tolist()])
+        one, other = where[: len(pairs)], where[len(pairs) :]
+        for start in range(0, len(pairs), max(1, (1 << 19) // width)):
+            part = slice(start, start + max(1, (1 << 19) // width))
+            apart = np.bitwise_count(matrix[one[part]] ^ matrix[other[part]]).sum(1, dtype=np.int64)
+            both = sizes[left[pairs[part]]] + sizes[right[pairs[part]]]
+            allowed[pairs[part]] = both - apart >= 2 * (-(-PERCENT * both // (100 + PERCENT)))
+    return allowed
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """A bitmap of fewer words: places merge by their last bit, which keeps the first bits of the hash."""
+    while len(bits) > words:
+        flat = np.unpackbits(bits.view(np.uint8))
+        bits = np.packbits(flat[0::2] | flat[1::2]).view(np.uint64)
+    return bits
 
 
 def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,13 +339,9 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), maps], names=["node", "bits"])
 
 
-def _open(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their component, of lists that hold several."""
-    labelled = stage(
-        nodes.join(labels, "node", "left").select("token", "node", "n", "at", F.coalesce("component", "node").alias("comp")), "jaccard-labelled"
-    )
-    spread = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    return stage(labelled.join(stage(spread.select("token"), "jaccard-open"), "token"), "jaccard-open")
+def _labelled(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of lists with the component of their node."""
+    return nodes.join(labels, "node", "left").select("token", "node", "n", "at", F.coalesce("component", "node").alias("comp"))
 
 
 def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -379,12 +406,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     # Rounds of one partner for each node that a list's largest component lacks, then
     # all pairs of lists whose nodes are still not all connected.
     for seed in range(ROUNDS):
-        labelled = _open(nodes, labels)
-        nodes = labelled.select("token", "node", "n", "at")
-        tried = labelled.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
-        pairs = stage(tried.groupBy("bucket").applyInArrow(_again(seed), _PAIRS).distinct(), "jaccard-pairs")
-        labels = _joined(labels, _verified(pairs, texts))
-    labelled = _open(nodes, labels)
+        tried = _labelled(nodes, labels).withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
+        drawn = stage(tried.groupBy("bucket").applyInArrow(_again(seed), _PAIRS).distinct(), "jaccard-pairs")
+        labels = _joined(labels, _verified(drawn, texts))
+    labelled = stage(_labelled(nodes, labels), "jaccard-labelled")
+    several = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
+    labelled = labelled.join(stage(several.select("token"), "jaccard-open"), "token")
     maps = texts.select(F.col(ID).alias("node"), "z").mapInArrow(_bitmaps, "node long, bits binary")
     left = labelled.join(maps, "node").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
     rest = stage(left.groupBy("bucket").applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.exchange import PACKED, digit, pack, unpack
 from goldspine.llm.keys import FP, ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
-from goldspine.llm.sketch import PARTIAL, SLOTS, partial, slots, total
+from goldspine.llm.sketch import PARTIAL, partial, slots, total
 from goldspine.llm.tokens import U64, Spans, chunks, mix, pieces
 from goldspine.sinks.staging import stage
 
@@ -38,6 +38,8 @@ _SPREAD = WIDTH - GRAM + 1
 _BYTES = WIDTH + _SPREAD - 1
 #: Runs of one gram that meet in one task; commoner grams are sent suffix by suffix.
 MEET = 1024
+#: Grams are counted by so many bits of their hash.
+COUNTER_BITS = 20
 
 _PLACE_BITS = 40
 _START = (1 << _PLACE_BITS) - 1
@@ -164,9 +166,9 @@ def _packed_schema() -> pa.Schema:
 
 def _weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many unclear runs a gram has, by the first bits of it."""
-    counts = np.zeros(SLOTS, np.int64)
+    counts = np.zeros(1 << COUNTER_BITS, np.int64)
     for batch in batches:
-        np.add.at(counts, slots(unpack(batch, _RUN, UNCLEAR)["gram"]), 1)
+        np.add.at(counts, slots(unpack(batch, _RUN, UNCLEAR)["gram"], COUNTER_BITS), 1)
     yield partial(counts)
 
 
@@ -273,7 +275,7 @@ def _third_pass(n: int, common: Broadcast):
                 texts["bytes"] = np.where(within, data[np.minimum(at, len(data) - 1)], 0)
                 parts.append(texts)
             texts = np.concatenate(parts)
-            often = common.value[slots(texts["gram"])]
+            often = common.value[slots(texts["gram"], COUNTER_BITS)]
             rare = texts[~often]
             if len(rare):
                 out.append(pack(rare, digit(rare["gram"], n), TEXTS))
@@ -362,8 +364,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     second = stage(
         rows.mapInArrow(_first_pass(n), PACKED).groupBy("bucket").applyInArrow(_second_pass(n), PACKED), "repeats"
     )
-    weights = total(second.where(F.col("kind") == UNCLEAR).mapInArrow(_weigh, PARTIAL))
-    common = spark.sparkContext.broadcast(weights > max(MEET, 8 * weights.mean()))
+    weights = total(second.where(F.col("kind") == UNCLEAR).mapInArrow(_weigh, PARTIAL), lambda counts: counts)
+    common = spark.sparkContext.broadcast(weights > max(MEET, 8 * weights.mean()) if len(weights) else np.zeros(1 << COUNTER_BITS, bool))
     texts = rows.mapInArrow(_squeeze(n), f"bucket int, {ID} long, {FP} long, z binary")
     third = (
         texts.groupBy("bucket").cogroup(second.where(F.col("kind") == UNCLEAR).groupBy("bucket")).applyInArrow(_third_pass(n, common), PACKED)

@@ -5,39 +5,47 @@ What reaches the driver, and is broadcast from it, has one size for any corpus.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-SLOT_BITS = 20
-SLOTS = 1 << SLOT_BITS
 _PARTS = 64
 PARTIAL = "part int, counts binary"
+#: A task counts no further; the sum over tasks does.
+_MOST = np.iinfo(np.uint16).max
 
 
-def slots(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+def slots(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The counter of each hash, of two to the power of ``bits``."""
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def partial(counts: np.ndarray) -> pa.RecordBatch:
-    """A task's counters, in rows of a few each."""
-    rows = counts.astype(np.int64).reshape(_PARTS, -1).astype(np.int32)
+    """A task's counters, in rows of a part of them each."""
+    rows = np.minimum(counts, _MOST).astype(np.uint16).reshape(_PARTS, -1)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.arange(_PARTS, dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], names=["part", "counts"]
     )
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = np.zeros(SLOTS // _PARTS, np.int64)
-    for batch in table.to_batches():
-        for counts in batch.column("counts"):
-            total += np.frombuffer(counts.as_buffer(), np.int32)
-    return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+def half_powers(counts: np.ndarray) -> np.ndarray:
+    """The order of magnitude, in steps of half a power of two, as a byte."""
+    return np.rint(2 * np.log2(counts + 1)).astype(np.uint8)
+
+
+def total(partials: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """A function, element by element, of the sum of what tasks have counted, from rows of ``PARTIAL``."""
 
+    def add(table: pa.Table) -> pa.Table:
+        counts = None
+        for batch in table.to_batches():
+            for some in batch.column("counts"):
+                found = np.frombuffer(some.as_buffer(), np.uint16)
+                counts = found.astype(np.int64) if counts is None else counts + found
+        return pa.table({"part": table.column("part").slice(0, 1), "counts": pa.array([of(counts).tobytes()], pa.binary())})
 
-def total(partials: DataFrame) -> np.ndarray:
-    """The sum of what tasks have counted, from rows of ``PARTIAL``."""
-    out = np.zeros((_PARTS, SLOTS // _PARTS), np.int64)
-    for part, counts in partials.groupBy("part").applyInArrow(_add, PARTIAL).collect():
-        out[part] = np.frombuffer(counts, np.int64)
-    return out.ravel()
+    kind = of(np.zeros(1, np.int64)).dtype
+    rows = sorted(partials.groupBy("part").applyInArrow(add, PARTIAL).collect())
+    return np.concatenate([np.frombuffer(counts, kind) for _, counts in rows]) if rows else np.zeros(0, kind)
