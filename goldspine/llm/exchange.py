@@ -8,15 +8,25 @@ that a key of any weight brings a row or so from each task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 
+_LIBC = ctypes.CDLL(None)
 PACKED = "bucket int, kind int, payload binary"
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
 
 
+def release_memory() -> None:
+    """Hand back what earlier groups have used: workers live on, and their allocators keep freed memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def digit(hashes: np.ndarray, n: int) -> np.ndarray:
     """The group of each hash, of ``n``: from its upper half, evenly."""
     return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)

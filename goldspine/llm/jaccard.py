@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.components import components
-from goldspine.llm.exchange import PACKED, digit, pack, unpack
+from goldspine.llm.exchange import PACKED, digit, pack, release_memory, unpack
 from goldspine.llm.keys import FP, ID, NO_ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
 from goldspine.llm.sketch import PARTIAL, half_powers, partial, slots, total
 from goldspine.llm.tokens import SPACED, U64, chunks, grams, mix, pieces, words
@@ -158,6 +158,7 @@ def _first_of(*keys: np.ndarray) -> np.ndarray:
 
 def _lists(table: pa.Table) -> pa.Table:
     """What a bucket holds: documents, members of groups, copies of members, lists of several groups, hubs."""
+    release_memory()
     out = []
     docs = unpack(table, _DOCUMENT, DOCUMENTS)
     if len(docs):

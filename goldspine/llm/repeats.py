@@ -25,7 +25,7 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from goldspine.llm.exchange import PACKED, digit, pack, unpack
+from goldspine.llm.exchange import PACKED, digit, pack, release_memory, unpack
 from goldspine.llm.keys import FP, ID, TEXT, buckets, keyed, public_id, small_batches, text_bytes
 from goldspine.llm.sketch import PARTIAL, partial, slots, total
 from goldspine.llm.tokens import U64, Spans, chunks, mix, pieces
@@ -37,7 +37,7 @@ GRAM = 24
 _SPREAD = WIDTH - GRAM + 1
 _BYTES = WIDTH + _SPREAD - 1
 #: Runs of one gram that meet in one task; commoner grams are sent suffix by suffix.
-MEET = 1024
+MEET = 256
 #: Grams are counted by so many bits of their hash.
 COUNTER_BITS = 20
 
@@ -143,12 +143,14 @@ def _first_pass(n: int):
             for kind, rows in ((REPEATED, repeated), (UNCLEAR, unclear)):
                 if len(rows):
                     yield pack(rows, _home(rows["id"], rows["place"], n), kind)
+        release_memory()
 
     return run
 
 
 def _second_pass(n: int):
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         out = []
         _, repeated, unclear = _settle(unpack(table, _RUN, RUNS))
         for kind, rows in ((REPEATED, repeated), (UNCLEAR, unclear)):
@@ -259,6 +261,7 @@ def _third_pass(n: int, common: Broadcast):
     """Unclear runs with their bytes, to the bucket of their gram, or of each suffix if the gram is common."""
 
     def run(documents: pa.Table, packed: pa.Table) -> pa.Table:
+        release_memory()
         out = []
         unclear = unpack(packed, _RUN, UNCLEAR)
         if len(unclear):
@@ -292,6 +295,7 @@ def _third_pass(n: int, common: Broadcast):
 
 def _last_pass(n: int):
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         found = [unpack(table, _RUN, REPEATED)]
         texts = unpack(table, _TEXT, TEXTS)
         # By gram, some at a time: equal windows have equal grams.
@@ -314,6 +318,7 @@ _KEPT_TYPES = pa.schema([(ID, pa.int64()), (FP, pa.int64()), ("n_bytes", pa.int6
 
 
 def _cut(documents: pa.Table, packed: pa.Table) -> pa.Table:
+    release_memory()
     held = _Documents(documents)
     repeated = dict(_by_document(unpack(packed, _RUN, REPEATED)))
     lengths, starts, ends, counts, kept = [], [], [], [0], []
