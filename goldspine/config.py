@@ -78,8 +78,7 @@ COUNTRIES = Consolidation(
 )
 # Names of two checks in the report document.
 REPORT_NAMES = {"negative_population": "negative_population", "non_positive_area_km2": "non_positive_area"}
-# Rows kept by the indicator extract, and the files of each source.
-TOP_INDICATORS = 10_000
+# The files of each source.
 RAW_PATTERNS = {
     "file": "countries_iso_*",
     "api": "countries_api_*",

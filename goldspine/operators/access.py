@@ -68,8 +68,12 @@ def get(df: DataFrame, id_column: str, value) -> DataFrame:
 
 
 def get_many(df: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
-    """Every requested id with its row and a ``found`` flag; ids may repeat."""
-    flagged = df.withColumn("found", F.lit(True))
+    """Every requested id with its row and a ``found`` flag; ids may repeat.
+
+    The table is reduced to requested rows first, so no more than these are joined.
+    """
+    wanted = ids.select(id_column).distinct()
+    flagged = df.join(wanted, id_column, "left_semi").withColumn("found", F.lit(True))
     joined = lookup(ids.select(id_column), flagged, [id_column], "left")
     return joined.withColumn("found", F.coalesce("found", F.lit(False)))
 

@@ -107,6 +107,32 @@ def _settle_in_order(judged: DataFrame, existing: DataFrame, unique: list[list[s
     return judged.join(why, ordinal, "left").withColumn(REASON, F.coalesce(REASON, "_why")).drop("_why")
 
 
+def judge_replacements(
+    batch: DataFrame,
+    existing: DataFrame,
+    unique: Sequence[Sequence[str]],
+    id_column: str,
+    rules: Sequence[Rule] = (),
+    foreign_keys: Sequence[ForeignKey] = (),
+) -> DataFrame:
+    """``batch`` with a ``reason`` column: null where the stored row of that id may be replaced.
+
+    ``batch`` has only stored ids, each once. A rejected row keeps its stored
+    values, and these may stand in the way of others; so the rest is judged
+    anew until no further row is rejected. Each round settles the rows that
+    the stored rows of the last round's rejects block.
+    """
+    candidates, rejected = batch, []
+    while True:
+        staying = existing.join(candidates.select(id_column), id_column, "left_anti")
+        judged = stage(create_rows(candidates, staying, unique, id_column, rules, foreign_keys), "replacements")
+        refused = judged.where(F.col(REASON).isNotNull())
+        if refused.isEmpty():
+            return reduce(lambda left, right: left.unionByName(right), [judged, *rejected])
+        rejected.append(refused)
+        candidates = judged.where(F.col(REASON).isNull()).drop(REASON)
+
+
 def split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted rows without the reason, rejected rows with it)."""
     return judged.where(F.col(REASON).isNull()).drop(REASON), judged.where(F.col(REASON).isNotNull())

@@ -4,57 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
-_SALT = "_salt"
-DEFAULT_SALTS = 8
 
-
-def salted(many: DataFrame, one: DataFrame, keys: Sequence[str], salts: int) -> tuple[DataFrame, DataFrame]:
-    """Spread each key of ``many`` over ``salts`` sub-keys and repeat ``one`` for each.
-
-    The salt is a hash of the task's number and the row, so identical rows are
-    spread too, and a recomputed task assigns the same salts again. Joining on
-    key and salt also makes both sides arrive by their own exchange, which is
-    the shape adaptive execution can split further.
-    """
-    if salts < 1:
-        raise ValueError("salts must be at least 1")
-    hashable = [f.name for f in many.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    row_hash = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{name}`") for name in hashable])
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        many.withColumn(_SALT, F.pmod(row_hash, F.lit(salts)).cast("int")),
-        one.select("*", copies.alias(_SALT)),
-    )
-
-
-def lookup(
-    many: DataFrame,
-    one: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    salts: int = DEFAULT_SALTS,
-) -> DataFrame:
+def lookup(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``many`` to ``one``, which holds each key once, on equal column names.
 
-    ``how`` is left, inner, left_semi or left_anti. A key of ``many`` may hold
-    any share of its rows. Spark broadcasts ``one`` by itself where its
-    measured size allows; nothing is forced here.
+    ``how`` is left, inner, left_semi or left_anti. It is a plain join, so
+    columns are pruned and filters pushed on both sides; a key of ``many`` may
+    hold any share of its rows, since adaptive execution splits its partition.
+    Spark broadcasts ``one`` by itself where its measured size allows.
     """
     if how not in {"left", "inner", "left_semi", "left_anti"}:
         raise ValueError(f"unsupported lookup: {how}")
-    left, right = salted(many, one, keys, salts)
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+    return many.join(one, list(keys), how)
 
 
-def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str, salts: int = DEFAULT_SALTS) -> DataFrame:
+def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Rows of ``child`` whose non-null ``fk`` has no ``pk`` in ``parent``.
 
     The parent keys are reduced to distinct ones first, inside the map tasks.
     """
     keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
-    return lookup(child.where(F.col(fk).isNotNull()), keys, [fk], "left_anti", salts)
+    return lookup(child.where(F.col(fk).isNotNull()), keys, [fk], "left_anti")
 
 
 def childless(parent: DataFrame, child: DataFrame, pk: str, fk: str) -> DataFrame:

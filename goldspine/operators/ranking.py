@@ -6,57 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from goldspine.operators.joins import lookup
 from goldspine.sinks.staging import stage
 
-# Above this many rows in one group, its rank is computed by many tasks.
-MAX_GROUP_ROWS = 2_000_000
+# Bits of ``monotonically_increasing_id`` that count within a task.
+_ROW_BITS = 33
 
 
-def dense_rank_within(
-    df: DataFrame, group: str, measure: str, rank: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def dense_rank_within(df: DataFrame, group: str, measure: str, rank: str) -> DataFrame:
     """Add ``rank``: 1 for the highest ``measure`` of the row's group, no gaps.
 
-    The input is staged once. If no group exceeds ``max_group_rows`` a window
-    ranks each group in one task; otherwise the ranks come from a global sort
-    of the distinct measures, which no group size can unbalance.
+    The distinct measures are sorted globally and written with the number of
+    their task and their place in it. A rank is that place plus what earlier
+    tasks hold of the group, so no group meets in one task, whatever its size.
     """
-    staged = stage(df, "ranking")
-    largest = staged.groupBy(group).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest <= max_group_rows:
-        window = Window.partitionBy(group).orderBy(F.col(measure).desc_nulls_first())
-        return staged.withColumn(rank, F.dense_rank().over(window).cast("bigint"))
-    return _rank_by_position(staged, group, measure, rank)
-
-
-def _rank_by_position(df: DataFrame, group: str, measure: str, rank: str) -> DataFrame:
-    values = df.select(group, measure).distinct()
-    ordered = stage(values.orderBy(F.col(group), F.col(measure).desc_nulls_first()), "ranks")
-    # Files of a global sort are named in order and keep the order of their rows.
-    placed = ordered.select(
-        F.col(group).alias("_g"),
-        F.col(measure).alias("_m"),
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    spans = placed.groupBy("_g", "_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-    # A group has one span per file, so this window holds at most as many rows as there are files.
-    earlier = Window.partitionBy("_g").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select(
-        "_g", "_file", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+    values = df.select(F.col(group).alias("_g"), F.col(measure).alias("_m")).distinct()
+    ordered = values.orderBy(F.col("_g"), F.col("_m").desc_nulls_first()).select(
+        "_g", "_m", F.spark_partition_id().alias("_task"),
+        F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
     )
+    placed = stage(ordered, "ranks")
+    spans = placed.groupBy("_g", "_task").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    # A group has one span per task of the sort, so this window holds at most as many rows.
+    earlier = Window.partitionBy("_g").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("_g", "_task", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     ranked = (
         placed.alias("p")
-        .join(spans.alias("s"), F.col("p._g").eqNullSafe(F.col("s._g")) & (F.col("p._file") == F.col("s._file")))
-        .select(
-            F.struct(F.col("p._g"), F.col("p._m")).alias("_key"),
-            (F.col("_row") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias(rank),
-        )
+        .join(spans.alias("s"), F.col("p._g").eqNullSafe(F.col("s._g")) & (F.col("p._task") == F.col("s._task")))
+        .select("p._g", "p._m", (F.col("_row") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias("_rank"))
     )
-    keyed = df.withColumn("_key", F.struct(F.col(group).alias("_g"), F.col(measure).alias("_m")))
-    # There may be as many distinct measures as rows, so they are not repeated per salt.
-    return lookup(keyed, ranked, ["_key"], "inner", salts=1).drop("_key")
+    same = F.col(f"d.`{group}`").eqNullSafe(F.col("r._g")) & F.col(f"d.`{measure}`").eqNullSafe(F.col("r._m"))
+    return df.alias("d").join(ranked.alias("r"), same).select("d.*", F.col("r._rank").alias(rank))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

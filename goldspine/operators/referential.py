@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from goldspine.operators.joins import DEFAULT_SALTS, childless, lookup, referring
+from goldspine.operators.joins import childless, lookup, referring
 
 
 @dataclass(frozen=True)
@@ -32,25 +32,25 @@ def delete_rows(parent: DataFrame, ids: DataFrame, pk: str, restricting: DataFra
     return Deletion(parent.join(deleted, pk, "left_anti"), deleted, blocked, missing)
 
 
-def set_null(child: DataFrame, deleted: DataFrame, fk: str, pk: str, salts: int = DEFAULT_SALTS) -> DataFrame:
+def set_null(child: DataFrame, deleted: DataFrame, fk: str, pk: str) -> DataFrame:
     """Children of deleted parents lose their reference; all rows stay."""
     gone = deleted.select(F.col(pk).alias(fk)).distinct().withColumn("_gone", F.lit(True))
-    joined = lookup(child, gone, [fk], "left", salts)
+    joined = lookup(child, gone, [fk], "left")
     cleared = F.when(F.col("_gone").isNull(), F.col(fk))
     return joined.withColumn(fk, cleared).select(*child.columns)
 
 
-def cascade_delete(child: DataFrame, deleted: DataFrame, fk: str, pk: str, salts: int = DEFAULT_SALTS) -> DataFrame:
+def cascade_delete(child: DataFrame, deleted: DataFrame, fk: str, pk: str) -> DataFrame:
     """Children of deleted parents are deleted with them."""
     gone = deleted.select(F.col(pk).alias(fk)).distinct()
-    return lookup(child, gone, [fk], "left_anti", salts).select(*child.columns)
+    return lookup(child, gone, [fk], "left_anti").select(*child.columns)
 
 
 def cascade_key(
-    child: DataFrame, moves: DataFrame, fk: str, old: str = "old_key", new: str = "new_key", salts: int = DEFAULT_SALTS
+    child: DataFrame, moves: DataFrame, fk: str, old: str = "old_key", new: str = "new_key"
 ) -> DataFrame:
     """Children follow a parent's new key; ``moves`` names each old key once."""
     mapping = moves.select(F.col(old).alias(fk), F.col(new).alias("_new_key"), F.lit(True).alias("_moved"))
-    joined = lookup(child, mapping, [fk], "left", salts)
+    joined = lookup(child, mapping, [fk], "left")
     followed = F.when(F.col("_moved"), F.col("_new_key")).otherwise(F.col(fk)).cast(child.schema[fk].dataType)
     return joined.withColumn(fk, followed).select(*child.columns)

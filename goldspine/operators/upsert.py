@@ -71,7 +71,7 @@ def assign_ids(rows: DataFrame, id_column: str, start: int) -> DataFrame:
     earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("_file", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     number = (F.lit(start) + F.col("_before") + F.col("_row") + 1).cast("bigint")
-    return lookup(placed, files, ["_file"], "inner", salts=1).select(
+    return lookup(placed, files, ["_file"], "inner").select(
         number.alias(id_column), *[F.col(c) for c in rows.columns]
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from goldspine.functions.numbers import frame_ratio
 from goldspine.operators.aggregates import group_counts, group_statistics, group_totals
 from goldspine.operators.dedupe import latest_per_key
-from goldspine.operators.ranking import MAX_GROUP_ROWS, dense_rank_within
+from goldspine.operators.ranking import dense_rank_within
 from goldspine.sinks.documents import slug, write_table
 
 
@@ -31,7 +31,6 @@ def latest_indicators(
     tie_break: tuple[str, ...] = (),
     group: str = "region_name",
     name: str = "country_name",
-    max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Each active entity with its latest usable indicators, ratios and rank in its group.
 
@@ -52,7 +51,7 @@ def latest_indicators(
             "gdp_per_capita_usd": frame_ratio(joined, "gdp_usd", "population"),
         }
     )
-    ranked = dense_rank_within(enriched, group, "population", "population_rank_in_region", max_group_rows)
+    ranked = dense_rank_within(enriched, group, "population", "population_rank_in_region")
     return ranked.orderBy(F.col(group).asc_nulls_last(), "population_rank_in_region", F.col(name).asc_nulls_last())
 
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine import schema as S
-from goldspine.config import TOP_INDICATORS
 from goldspine.functions.text import is_blank, is_code
 from goldspine.operators.aggregates import duplicate_count
 from goldspine.operators.ranking import top_k_by_measure
@@ -47,14 +46,14 @@ def validate_code_file(df: DataFrame) -> DataFrame:
     return df
 
 
-def top_indicators(df: DataFrame, limit: int = TOP_INDICATORS) -> DataFrame:
-    """The most populous rows of the indicator table that have a code and a population."""
-    if limit < 1:
+def top_indicators(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows of the indicator table that have a code and a population; with a limit, the most populous."""
+    if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1")
     columns = S.schema(S.INDICATOR_FILE).fieldNames()
     rows = S.require_columns(df, columns, "indicators").select(*columns)
     rows = rows.where(F.col("iso3").isNotNull() & F.col("population").isNotNull())
-    return top_k_by_measure(rows, "population", ("iso3", "year"), limit)
+    return rows if limit is None else top_k_by_measure(rows, "population", ("iso3", "year"), limit)
 
 
 def _write(spark: SparkSession, df: DataFrame, root: str, output: str, file_format: str, **options: str) -> tuple[str, int]:
@@ -83,7 +82,7 @@ def database_job(spark: SparkSession, table: DataFrame, root: str, raw: str = "d
     return job
 
 
-def bigdata_job(spark: SparkSession, path: str, root: str, raw: str = "data/raw", limit: int = TOP_INDICATORS) -> Callable[[], tuple[str, int]]:
+def bigdata_job(spark: SparkSession, path: str, root: str, raw: str = "data/raw", limit: int | None = None) -> Callable[[], tuple[str, int]]:
     def job():
         df = top_indicators(read_parquet(spark, path), limit)
         output = f"{raw}/bigdata/country_indicators_{slug()}"

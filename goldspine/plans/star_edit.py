@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldspine import schema as S
-from goldspine.operators.crud import REASON, ForeignKey, create_rows, replace_rows, split
+from goldspine.operators.crud import REASON, ForeignKey, create_rows, judge_replacements, replace_rows, split
 from goldspine.operators.quality import country_rules, indicator_rules, region_rules, subregion_rules
 from goldspine.operators.referential import cascade_delete, delete_rows, set_null
 from goldspine.operators.upsert import assign_ids
@@ -80,23 +80,32 @@ def create(store: StarStore, table: str, batch: DataFrame, ordinal: str) -> Edit
 
 
 def replace(store: StarStore, table: str, batch: DataFrame) -> Edit:
-    """Replace whole rows by id, as one batch; an unknown id or a broken rule rejects the row."""
+    """Replace whole rows by id, as one batch.
+
+    Rows with an unknown or repeated id are rejected first, then those that
+    break a rule or a reference. The others are judged in the order of their
+    ids against every stored row that keeps its values, which includes the
+    stored rows of rejected ones.
+    """
     id_column = IDS[table]
     existing = store.table(table)
     prepared = _prepare(batch, table, [])
     if "created_at" in existing.columns:
         stored = existing.select(id_column, F.col("created_at").alias("_created"))
         prepared = prepared.join(stored, id_column, "left").withColumn("created_at", F.coalesce("_created", "created_at")).drop("_created")
-    others = existing.join(prepared.select(id_column), id_column, "left_anti")
-    judged = stage(
-        create_rows(prepared, others, UNIQUE[table], id_column, RULES[table](), _foreign_keys(store, table)), "replace"
-    )
+    prepared = stage(prepared, "replace")
+    counts = prepared.groupBy(id_column).agg(F.count("*").alias("_n"))
+    once = counts.where("_n = 1").join(existing.select(id_column), id_column, "left_semi").select(id_column)
+    known = prepared.join(once, id_column, "left_semi")
+    unsound = prepared.join(once, id_column, "left_anti").join(counts, id_column, "left").withColumn(
+        REASON, F.when(F.col("_n") > 1, F.lit(f"repeated {id_column}")).otherwise(F.lit("not found"))
+    ).drop("_n")
+    judged = judge_replacements(known, existing, UNIQUE[table], id_column, RULES[table](), _foreign_keys(store, table))
     accepted, rejected = split(judged)
     refresh = {"loaded_at": F.current_timestamp()} if "loaded_at" in existing.columns else {}
-    after, missing = replace_rows(existing, accepted, id_column, refresh)
-    applied = accepted.join(existing.select(id_column), id_column, "left_semi")
+    after, _ = replace_rows(existing, accepted, id_column, refresh)
     store.publish({table: after})
-    return Edit(applied, rejected.unionByName(missing.withColumn(REASON, F.lit("not found"))))
+    return Edit(accepted, rejected.unionByName(unsound))
 
 
 def delete(store: StarStore, table: str, ids: DataFrame) -> Edit:

@@ -123,7 +123,7 @@ def load(spark: SparkSession, store: StarStore, source: str, year: int = DEFAULT
     """
     golden = spark.read.parquet(source)
     rows_read = validate_golden(golden)
-    digest = fingerprints(spark, source).agg(*combined_fingerprint()).first()["sha256"]
+    digest = fingerprints(spark, source).agg(*combined_fingerprint(source)).first()["sha256"]
     row = store.begin(source, digest, rows_read)
     load_id, stamp = row["load_id"], row["started_at"]
     now = timestamp_literal(stamp)

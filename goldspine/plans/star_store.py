@@ -71,7 +71,10 @@ class StarStore:
 
     def write_version(self, name: str, df: DataFrame, load_id: str) -> str:
         path = f"{self.root}/{name}/version={load_id}"
-        S.align(df, S.STAR_TABLES[name]).write.option("compression", "zstd").parquet(path)
+        aligned = S.align(df, S.STAR_TABLES[name])
+        # Parquet keeps descriptions by column: the table's is kept with its first one.
+        comments = {aligned.columns[0]: COMMENTS[name]} if name in COMMENTS else {}
+        S.describe(aligned, comments).write.option("compression", "zstd").parquet(path)
         return path
 
     def begin(self, source_file: str, source_sha256: str, rows_read: int) -> dict[str, Any]:
@@ -91,10 +94,28 @@ class StarStore:
         return row
 
     def commit(self, row: Mapping[str, Any], base: str | None, versions: Mapping[str, str], **counters: int) -> None:
-        """Make ``versions`` current, unless something was published since ``base``."""
+        """Make ``versions`` current, unless something was published since ``base``.
+
+        A change has one successor: its claim is a file that the file system
+        creates once. Of loads that overlap, the first to create it publishes.
+        """
         if self.head()[0] != base:
             raise ConcurrentLoad(f"tables changed since {base}")
-        self._append({**row, **counters, "completed_at": _now(), "status": "success", "versions": dict(versions)})
+        claim = f"{self.root}/claims/after={base or 'nothing'}"
+        if not self._files().createNewFile(self._path(claim)):
+            raise ConcurrentLoad(f"another load follows {base}")
+        try:
+            self._append({**row, **counters, "completed_at": _now(), "status": "success", "versions": dict(versions)})
+        except BaseException:
+            self._files().delete(self._path(claim), False)
+            raise
+
+    def _path(self, path: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self):
+        """The file system of the store."""
+        return self._path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def fail(self, row: Mapping[str, Any], error: BaseException) -> None:
         self._append({**row, "completed_at": _now(), "status": "failed", "error_message": str(error)[:4000]})

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from goldspine import schema as S
 
@@ -139,13 +140,28 @@ def _hash_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield batch.assign(sha256=[digest(uri) for uri in batch["path"]])
 
 
-def combined_fingerprint() -> list:
-    """Aggregates (files, bytes, sha256) over ``fingerprints`` rows.
+def plain_path(path: str) -> str:
+    """The path as it appears inside the full names Spark reports."""
+    return re.sub(r"^file:/*", "/", path.rstrip("/"))
+
+
+def name_within(outputs: str | Sequence[str]) -> Column:
+    """A file's path below the output that holds it; its base name if it is the output."""
+    inside = [
+        F.when(F.contains("path", F.lit(plain_path(output) + "/")), F.substring_index("path", plain_path(output) + "/", -1))
+        for output in ([outputs] if isinstance(outputs, str) else outputs)
+    ]
+    return F.coalesce(*inside, F.substring_index("path", "/", -1))
+
+
+def combined_fingerprint(outputs: str | Sequence[str]) -> list:
+    """Aggregates (files, bytes, sha256) over ``fingerprints`` rows of the outputs.
 
     One file keeps its own hash. Several are combined by exclusive-or of the
-    hashes of (name, hash), which needs no order and is reduced in the map tasks.
+    hashes of (path below the output, hash), which needs no order and is
+    reduced in the map tasks. A path occurs once, so no two entries cancel.
     """
-    entry = F.sha2(F.concat_ws("|", F.element_at(F.split("path", "/"), -1), "sha256"), 256)
+    entry = F.sha2(F.concat_ws("|", name_within(outputs), "sha256"), 256)
     words = [F.conv(F.substr(entry, F.lit(1 + 16 * i), F.lit(16)), 16, -10).cast("bigint") for i in range(4)]
     mixed = F.concat(*[F.lower(F.lpad(F.hex(F.bit_xor(word)), 16, "0")) for word in words])
     return [

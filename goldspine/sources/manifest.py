@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import posixpath
-import re
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timezone
 from typing import Any
@@ -13,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.sinks.documents import slug, write_document
-from goldspine.sources.files import NoSuchFile, combined_fingerprint, fingerprints, list_files
+from goldspine.sources.files import NoSuchFile, combined_fingerprint, fingerprints, list_files, plain_path
 
 
 class ManifestError(ValueError):
@@ -33,8 +32,8 @@ def newest_output(spark: SparkSession, folder: str, pattern: str, required: bool
         if required:
             raise NoSuchFile(f"nothing in {folder} matches {pattern}")
         return None
-    inside = _plain(folder) + "/"
-    name = _plain(newest).partition(inside)[2].split("/")[0]
+    inside = plain_path(folder) + "/"
+    name = plain_path(newest).partition(inside)[2].split("/")[0]
     return f"{folder.rstrip('/')}/{name}"
 
 
@@ -44,7 +43,7 @@ def newest_manifest(spark: SparkSession, raw: str) -> str:
 
 def build_entry(spark: SparkSession, source: str, root: str, output: str, rows: int) -> dict[str, Any]:
     """The manifest entry of one written output; ``output`` is relative to ``root``."""
-    found = fingerprints(spark, f"{root}/{output}").agg(*combined_fingerprint()).first()
+    found = fingerprints(spark, f"{root}/{output}").agg(*combined_fingerprint(f"{root}/{output}")).first()
     return {
         "source": source,
         "output_file": output,
@@ -143,11 +142,11 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
     # One literal per source: the list is the configured sources, not data.
     owner = F.coalesce(
         *[
-            F.when(F.col("path").contains(_plain(path) + "/") | F.col("path").endswith(_plain(path)), F.lit(source))
+            F.when(F.col("path").contains(plain_path(path) + "/") | F.col("path").endswith(plain_path(path)), F.lit(source))
             for source, (path, _, _) in entries.items()
         ]
     )
-    actual = fingerprints(spark, present).withColumn("source", owner).groupBy("source").agg(*combined_fingerprint())
+    actual = fingerprints(spark, present).withColumn("source", owner).groupBy("source").agg(*combined_fingerprint(present))
     joined = recorded.join(actual, "source", "left")
     problem = (
         F.when(F.col("files").isNull(), "missing")
@@ -157,11 +156,6 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
     return joined.select("source", "files", "bytes", "sha256", problem.alias("problem"))
 
 
-def _plain(path: str) -> str:
-    """The path as it appears inside the full names Spark reports."""
-    return re.sub(r"^file:/*", "/", path.rstrip("/"))
-
-
 def _exists(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether every path exists; the reader checks that before any job."""
     try:

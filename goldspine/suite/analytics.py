@@ -72,15 +72,15 @@ def first_per_entity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rank_in_group(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders ranked by price within their priority, groups small enough for a window."""
+    """Orders ranked by price within their priority."""
     orders = read(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
     return dense_rank_within(orders, "o_orderpriority", "o_totalprice", "price_rank")
 
 
 def rank_in_large_group(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items ranked by price within their flag, as if each flag were too large for one task."""
+    """Line items ranked by price within their flag, a few groups that hold all rows."""
     lines = read(spark, sf, "lineitem").select("l_returnflag", "l_quantity", "l_extendedprice")
-    return dense_rank_within(lines, "l_returnflag", "l_extendedprice", "price_rank", max_group_rows=0)
+    return dense_rank_within(lines, "l_returnflag", "l_extendedprice", "price_rank")
 
 
 def active_scan(spark: SparkSession, sf: str) -> DataFrame:

@@ -151,7 +151,7 @@ def manifest_verify(spark: SparkSession, sf: str) -> DataFrame:
     paths = _files(sf)
     name = F.regexp_extract("path", r"([^/]+)\.parquet", 1)
     # One recorded entry per source file of the run.
-    recorded = fingerprints(spark, list(paths.values())).groupBy(name.alias("source")).agg(*combined_fingerprint()).collect()
+    recorded = fingerprints(spark, list(paths.values())).groupBy(name.alias("source")).agg(*combined_fingerprint(list(paths.values()))).collect()
     entries = {r["source"]: (paths[r["source"]], r["bytes"], r["sha256"]) for r in recorded}
     rows = rows_per_source({n: read(spark, sf, n) for n in NAMES})
     checked = verify_entries(spark, entries)

@@ -77,14 +77,25 @@ def test_fingerprints_inline_and_streamed(spark, tmp_path):
     for limit in (10**9, 100, 0):
         found = {os.path.basename(r.path): (r.length, r.sha256) for r in files.fingerprints(spark, str(tmp_path), limit).collect()}
         assert found == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
-    whole = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint()).first()
+    whole = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint(str(tmp_path))).first()
     (tmp_path / "a.bin").write_bytes(b"y" * 10)
-    changed = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint()).first()
+    changed = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint(str(tmp_path))).first()
     assert whole["bytes"] == changed["bytes"] and whole["sha256"] != changed["sha256"] and len(whole["sha256"]) == 64
     kept = {os.path.basename(r.path): bytes(r.content) for r in files.raw_snapshot(spark, str(tmp_path)).collect()}
     assert kept["b.bin"] == contents["b.bin"]
 
 
+def test_equal_files_of_two_folders_do_not_cancel(spark, tmp_path):
+    hashes = set()
+    for text in ("hello", "HELLO"):
+        root = tmp_path / text
+        for part in ("p=1", "p=2"):
+            (root / part).mkdir(parents=True)
+            (root / part / "part-0").write_text(text)
+        hashes.add(files.fingerprints(spark, str(root)).agg(*files.combined_fingerprint(str(root))).first().sha256)
+    assert len(hashes) == 2 and "0" * 64 not in hashes
+
+
 def test_lineage(spark, tmp_path):
     path = write_table(spark.range(5).coalesce(1), str(tmp_path / "t"))
     assert [r.source for r in lineage({"t": spark.read.parquet(path)}).collect()] == ["t"]
