@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import sys
+import json
 import unicodedata
 from collections.abc import Mapping
 from functools import lru_cache
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F, types as T
-
-# Workers get these functions by value, so they need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pyspark.sql import Column, functions as F
 
 # What Python's str.strip and re's \s treat as blank, as a Java character class body.
 _BLANK = r"\s\x1c-\x1f\x85\p{Z}"
@@ -67,30 +62,31 @@ def _fold_table() -> tuple[str, str]:
     return "".join(source + marks), "".join(target)
 
 
-@F.pandas_udf(T.StringType())
-def _fold_rare(values: pd.Series) -> pd.Series:
-    return values.map(_fold, na_action="ignore")
-
-
-# Keeps the optimizer from copying the call into every filter on a name key.
-_fold_rare = _fold_rare.asNondeterministic()
+@lru_cache(maxsize=1)
+def _spelled_table() -> str:
+    """The characters that ``_RARE`` stands for and what they fold to, as JSON, derived from Unicode itself."""
+    points = (chr(p) for p in (*range(0x80, 0xD800), *range(0xE000, 0x20000)))
+    folded = {c: _fold(c) for c in points}
+    return json.dumps({c: f for c, f in folded.items() if len(f) > 1 and _SIGNIFICANT.intersection(f)})
 
 
 def fold_accents(value: Column) -> Column:
     """Accent- and case-fold (compatibility decomposition, marks dropped).
 
     ASCII text (as many bytes as characters) is only lower-cased. One
-    ``translate`` in the JVM settles all other texts but those that hold a
-    character with a multi-character folding (ligatures, Roman numerals).
-    Only these reach Python; for all others it is handed a null. No accented
-    Latin-1 letter but ß is of that kind, so common texts skip the search.
+    ``translate`` settles all other texts but those that hold a character with a
+    multi-character folding (ligatures, Roman numerals); these are spelled out
+    first, character by character, from a literal map. No accented Latin-1
+    letter but ß is of that kind, so common texts skip the search.
     """
     text = F.replace(value, F.lit("ß"), F.lit("ss"))
     ascii_only = F.octet_length(text) == F.length(text)
     folded = F.translate(text, *_fold_table())
     unusual = text.rlike(r"[^\x00-\x7F\u00C0-\u00FF]")
-    rare = F.when(unusual & F.contains(folded, F.lit(_RARE)), text)
-    return F.coalesce(_fold_rare(rare), F.lower(F.when(ascii_only, text).otherwise(folded)))
+    table = F.from_json(F.lit(_spelled_table()), "map<string,string>")
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    rare = unusual & F.contains(folded, F.lit(_RARE))
+    return F.lower(F.when(ascii_only, text).when(rare, F.translate(spelled, *_fold_table())).otherwise(folded))
 
 
 def normalize_name(value: Column) -> Column:
