@@ -31,7 +31,7 @@ PERCENT = 80
 #: Shingles are counted by so many bits of their hash.
 COUNTER_BITS = 23
 #: Bits of a bitmap for each shingle.
-SPREAD = 8
+SPREAD = 4
 #: How often one partner is drawn for each node before all pairs left are compared.
 ROUNDS = 1
 _PAIRS = "a long, b long"
@@ -272,15 +272,16 @@ def _again(seed: int):
 _AT_ONCE = 1 << 20
 
 
-def _cross(table: pa.Table) -> pa.Table:
+def _cross(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
     """Of a bucket of lists: pairs in different components that sizes, places and bitmaps allow."""
-    table = table.combine_chunks()
+    release_memory()
+    table, bitmaps = table.combine_chunks(), bitmaps.combine_chunks()
     token, node, comp, n, at = (table.column(c).to_numpy() for c in ("token", "node", "comp", "n", "at"))
-    bits = table.column("bits")
     order = np.lexsort((node, n, token))
     token, node, comp, n, at = (x[order] for x in (token, node, comp, n, at))
     nodes, first, which = np.unique(node, return_index=True, return_inverse=True)
-    maps = [np.frombuffer(bits[int(order[k])].as_buffer(), np.uint64) for k in first]
+    held = dict(zip(bitmaps.column("node").to_pylist(), bitmaps.column("bits")))
+    maps = [np.frombuffer(held[k].as_buffer(), np.uint64) for k in nodes.tolist()]
     sizes = n[first].astype(np.int64)
     found, held, waiting = [np.zeros(0, np.int64)], [], 0
 
@@ -411,11 +412,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         drawn = stage(tried.groupBy("bucket").applyInArrow(_again(seed), _PAIRS).distinct(), "jaccard-pairs")
         labels = _joined(labels, _verified(drawn, texts))
     labelled = stage(_labelled(nodes, labels), "jaccard-labelled")
-    several = labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-    labelled = labelled.join(stage(several.select("token"), "jaccard-open"), "token")
+    several = (
+        labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("leader"))
+        .where("low <> high")
+    )
+    # Lists go by their least node: those of one cluster mostly share it, so a bitmap goes to few buckets.
+    by_leader = stage(several.select("token", F.pmod(F.xxhash64("leader"), F.lit(n_groups)).alias("bucket")), "jaccard-open")
+    left = stage(labelled.join(by_leader, "token"), "jaccard-left")
     maps = texts.select(F.col(ID).alias("node"), "z").mapInArrow(_bitmaps, "node long, bits binary")
-    left = labelled.join(maps, "node").withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(n_groups)))
-    rest = stage(left.groupBy("bucket").applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")
+    met = stage(left.select("bucket", "node").distinct().join(maps, "node"), "jaccard-bitmaps")
+    rest = stage(left.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")
     final = _joined(labels, _verified(rest, texts))
 
     every = of(DOCUMENTS).select(F.col("id").alias(ID), F.col("fp").alias(FP), F.col("n").cast("long").alias("n"), F.col("hub").alias("node"))
