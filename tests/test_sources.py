@@ -121,9 +121,9 @@ def test_api_record(spark):
     record = pages.extract_records(captured(spark, [page([API_OBJECT, "stray", 3], False)]), "payload", "page_offset", "http://x").collect()
     assert len(record) == 1
     row = record[0].asDict()
-    assert (row["iso2"], row["iso3"], row["country_name"], row["official_name"], row["capital"]) == ("FR", "FRA", "France", "French Republic", "Paris")
-    assert (row["region"], row["subregion"], row["population"], row["area_km2"]) == ("Europe", "Western Europe", 68000000, 551695.0)
-    assert (row["currencies"], row["languages"], row["source_type"], row["source_url"]) == (["EUR"], ["French"], "api", "http://x")
+    assert (row["iso2"], row["iso3"], row["country_name"], row["official_name"], row["capital"]) == ("ES", "ESP", "Spain", "Kingdom of Spain", "Madrid")
+    assert (row["region"], row["subregion"], row["population"], row["area_km2"]) == ("Europe", "Southern Europe", 47500000, 505000.0)
+    assert (row["currencies"], row["languages"], row["source_type"], row["source_url"]) == (["EUR"], ["Spanish", "Catalan"], "api", "http://x")
     assert list(row) == S.schema(S.API_RECORD).fieldNames()
 
 
@@ -175,7 +175,7 @@ def test_html_rows(spark):
     df = spark.createDataFrame([(1, HTML), (2, "<p>no table</p>"), (3, None), (4, "<table class='wikitable'><tr><th>Country</th></tr></table>")], "id int, html string")
     cleaned = html.clean_rows(html.raw_rows(df, "html", "id"), "id").orderBy("position").collect()
     assert [(r.id, r.country_name, r.population_scraped, r.rejected) for r in cleaned] == [
-        (1, "World", 8232000000, "total row"), (1, "India", 1429404000, None), (1, "France", 68551653, None),
+        (1, "World", 8100000000, "total row"), (1, "Brazil", 214000000, None), (1, "Spain", 47500000, None),
     ]
     records = html.scraped_records(df.withColumn("url", F.lit("u")), "html", "url")
     assert records.columns == S.schema(S.SCRAPED_RECORD).fieldNames()
