@@ -123,7 +123,7 @@ def test_api_record(spark):
     row = record[0].asDict()
     assert (row["iso2"], row["iso3"], row["country_name"], row["official_name"], row["capital"]) == ("ES", "ESP", "Spain", "Kingdom of Spain", "Madrid")
     assert (row["region"], row["subregion"], row["population"], row["area_km2"]) == ("Europe", "Southern Europe", 47500000, 505000.0)
-    assert (row["currencies"], row["languages"], row["source_type"], row["source_url"]) == (["EUR"], ["Spanish", "Catalan"], "api", "http://x")
+    assert (row["currencies"], row["languages"], row["source_type"], row["source_url"]) == (["EUR"], ["Catalan", "Spanish"], "api", "http://x")
     assert list(row) == S.schema(S.API_RECORD).fieldNames()
 
 
