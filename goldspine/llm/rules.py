@@ -116,9 +116,10 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
         lambda a: a["n"].cast("long"),
     )
     counts = ["word_chars", "n_symbols", "n_marks", "n_stop", "n_lines", "n_dup_lines"]
-    return placed.select(
-        "_row", F.struct(F.col("_n").alias("n_words"), *counts, covered.alias("n_repeat_words")).alias("_m")
-    )
+    # A filter on the counts would be pushed below the projections that make them and
+    # repeat their work inside it; a field that depends on the task keeps it above.
+    here = F.monotonically_increasing_id().alias("here")
+    return placed.select("_row", F.struct(F.col("_n").alias("n_words"), *counts, covered.alias("n_repeat_words"), here).alias("_m"))
 
 
 def _measures() -> dict[str, Column]:
@@ -160,13 +161,8 @@ def kept(rules: Sequence[Rule] = RULES) -> Column:
 
 
 def filtered(docs: DataFrame, text_column: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of ``docs`` that the base rule and the table keep.
-
-    A filter would be pushed below the projections that measure and repeat
-    their work inside it; a column that depends on the task keeps it above.
-    """
-    rows = measured(docs, text_column).withColumn("_here", F.monotonically_increasing_id())
-    return rows.where(kept(rules) & (F.col("_here") >= 0)).select("_row.*")
+    """The rows of ``docs`` that the base rule and the table keep."""
+    return measured(docs, text_column).where(kept(rules)).select("_row.*")
 
 
 def summary(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
