@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from goldspine.llm import rules
+from goldspine.sinks.staging import stage
 from tests.llm import cases
 
 
@@ -43,28 +44,28 @@ def test_stages(spark, folder):
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "mixture"]
     quality, line_dedup, near_dedup, decontamination, mixture = (f for _, f in corpus_pipeline.STAGES)
 
-    kept = quality(spark, docs, folder)
+    kept = stage(quality(spark, docs, folder), "kept")
     assert kept.columns == docs.columns
     verdict = {r.doc_id for r in rules.summary(docs).where("kept").collect()}
     assert sorted(_texts(kept)) == sorted(t for t in _texts(docs) if t[0] in verdict) and 40 < len(verdict) < 60
 
-    lined = line_dedup(spark, kept, folder)
+    lined = stage(line_dedup(spark, kept, folder), "lined")
     expected = cases.line_dedup(_texts(kept))
     assert lined.schema == kept.schema
     assert {(r.doc_id, r.text, r.n_chars) for r in lined.collect()} == {(i, v[2], len(v[2])) for i, v in expected.items()}
 
-    near = near_dedup(spark, lined, folder)
+    near = stage(near_dedup(spark, lined, folder), "near")
     groups = cases.components(_texts(lined))
     assert near.columns == docs.columns
     assert sorted(r.doc_id for r in near.collect()) == sorted({c for n, c in groups.values() if n} | {i for i, (n, _) in groups.items() if not n})
     assert near.count() < lined.count()
 
-    clean = decontamination(spark, near, folder)
+    clean = stage(decontamination(spark, near, folder), "clean")
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     hits = cases.contamination(_texts(near), items)
     assert sorted(_texts(clean)) == sorted(t for t in _texts(near) if not hits[t[0]][1]) and clean.count() < near.count()
 
-    mixed = mixture(spark, clean, folder)
+    mixed = stage(mixture(spark, clean, folder), "mixed")
     sizes, taken = {}, {}
     for r in clean.collect():
         sizes[r.source] = sizes.get(r.source, 0) + len(cases.words(r.text))
