@@ -268,17 +268,21 @@ def _again(seed: int):
     return run
 
 
-#: Pairs whose bitmaps are compared at once.
+#: Pairs that are looked at at once.
 _AT_ONCE = 1 << 20
+#: Rows of lists that go together: more are dealt into slices, and each slice of
+#: nodes outside the largest components meets each slice of the lists.
+SLICE_ROWS = 1 << 14
+_LISTED_HERE, _OUTSIDE = 1, 2
 
 
 def _cross(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
-    """Of a bucket of lists: pairs in different components that sizes, places and bitmaps allow."""
+    """Of a bucket of slices: nodes outside with those of their list in other components, as sizes, places and bitmaps allow."""
     release_memory()
     table, bitmaps = table.combine_chunks(), bitmaps.combine_chunks()
-    token, node, comp, n, at = (table.column(c).to_numpy() for c in ("token", "node", "comp", "n", "at"))
-    order = np.lexsort((node, n, token))
-    token, node, comp, n, at = (x[order] for x in (token, node, comp, n, at))
+    token, node, comp, n, at, role = (table.column(c).to_numpy() for c in ("token", "node", "comp", "n", "at", "role"))
+    order = np.lexsort((n, token))
+    token, node, comp, n, at, role = (x[order] for x in (token, node, comp, n, at, role))
     nodes, first, which = np.unique(node, return_index=True, return_inverse=True)
     held = dict(zip(bitmaps.column("node").to_pylist(), bitmaps.column("bits")))
     maps = [np.frombuffer(held[k].as_buffer(), np.uint64) for k in nodes.tolist()]
@@ -289,14 +293,20 @@ def _cross(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
         pairs = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
         found.append(pairs[_bitmaps_allow(maps, sizes, pairs // len(nodes), pairs % len(nodes))])
 
-    # Each row with the one after it in its list, then with the second after it, and so on.
-    left = np.arange(len(token))
-    step = 0
-    while len(left):
-        step += 1
-        left = left[left + step < len(token)]
-        left = left[(token[left] == token[left + step]) & (PERCENT * n[left + step].astype(np.int64) <= 100 * n[left].astype(np.int64))]
-        right = left + step
+    listed, outside = (np.flatnonzero(role & kind) for kind in (_LISTED_HERE, _OUTSIDE))
+    # A list is a run of a token, in order of size: what a node can meet there is a part of it.
+    tokens, run = np.unique(token, return_inverse=True)
+    place = run[listed] * (1 << 32) + n[listed]
+    least = (PERCENT * n[outside].astype(np.int64) + 99) // 100
+    most = np.minimum(100 * n[outside].astype(np.int64) // PERCENT, (1 << 32) - 1)
+    begins = np.searchsorted(place, run[outside] * (1 << 32) + least, "left")
+    counts = np.searchsorted(place, run[outside] * (1 << 32) + most, "right") - begins
+    ends = np.cumsum(counts)
+    for start in range(0, int(ends[-1]) if len(ends) else 0, _AT_ONCE):
+        pair = np.arange(start, min(start + _AT_ONCE, int(ends[-1])))
+        whose = np.searchsorted(ends, pair, "right")
+        left = outside[whose]
+        right = listed[begins[whose] + pair - (ends[whose] - counts[whose])]
         apart = (comp[left] != comp[right]) & _passes(n[left], at[left], n[right], at[right])
         one, other = which[left[apart]], which[right[apart]]
         held.append(np.unique(np.minimum(one, other) * len(nodes) + np.maximum(one, other)))
@@ -309,6 +319,47 @@ def _cross(table: pa.Table, bitmaps: pa.Table) -> pa.Table:
     return pa.table({"a": nodes[pairs // max(1, len(nodes))], "b": nodes[pairs % max(1, len(nodes))]})
 
 
+def _sliced(labelled: DataFrame, n_groups: int) -> DataFrame:
+    """``bucket, token, node, comp, n, at, role``: lists of several components, where what is to meet meets.
+
+    Of two nodes in different components one is outside the largest of the list,
+    so nodes outside meet the list. Lists go by their least node: those of one
+    cluster mostly share it, so a bitmap goes to few buckets. A node's slice is
+    fixed by its hash, the same for all lists of a leader, and the number of
+    slices by their rows; there are as many buckets as slices fill.
+    """
+    spark = labelled.sparkSession
+    parts = labelled.groupBy("token", "comp").agg(F.count("node").alias("rows"), F.min("node").alias("leader"))
+    several = (
+        parts.groupBy("token").agg(
+            F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("leader").alias("leader"),
+            F.max_by("comp", F.struct("rows", "comp")).alias("largest"), F.sum("rows").alias("all"), F.max("rows").alias("most"),
+        ).where("low <> high").select("token", "leader", "largest", "all", (F.col("all") - F.col("most")).alias("others"))
+    )
+    by_token = stage(several, "jaccard-open")
+    slices = lambda rows: F.ceil(F.sum(rows) / SLICE_ROWS).cast("long")
+    per_leader = stage(by_token.groupBy("leader").agg(
+        slices("all").alias("lists"), slices("others").alias("outs"), F.sum("all").alias("all"), F.sum("others").alias("others"),
+    ), "jaccard-slices")
+    sent = per_leader.agg(F.sum(F.col("all") * F.col("outs") + F.col("others") * F.col("lists"))).first()[0] or 0
+    n_buckets = max(n_groups, -(-int(sent) // SLICE_ROWS))
+    open_lists = by_token.select("token", "leader", "largest").join(per_leader.select("leader", "lists", "outs"), "leader")
+    rows = labelled.join(open_lists, "token")
+    is_out = F.col("comp") != F.col("largest")
+    zero = F.lit(0).cast("long")
+    at_list, at_out = (F.pmod(F.xxhash64("node"), F.col(c)) for c in ("lists", "outs"))
+    block = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), role.alias("role"))
+    as_listed = F.transform(F.sequence(zero, F.col("outs") - 1), lambda i: block(i, at_list, F.lit(_LISTED_HERE)))
+    as_out = F.transform(F.sequence(zero, F.col("lists") - 1), lambda j: block(at_out, j, F.lit(_OUTSIDE)))
+    one = F.array(block(zero, zero, F.when(is_out, _LISTED_HERE | _OUTSIDE).otherwise(_LISTED_HERE)))
+    blocks = F.when(F.col("lists") == 1, one).when(is_out, F.concat(as_listed, as_out)).otherwise(as_listed)
+    return rows.select("leader", "token", "node", "comp", "n", "at", F.explode(blocks).alias("x")).select(
+        F.pmod(F.xxhash64("leader", "x.i", "x.j"), F.lit(n_buckets)).alias("bucket"),
+        # Slices of one list that fall into a bucket stay apart.
+        F.xxhash64("token", "x.i", "x.j").alias("token"), "node", "comp", "n", "at", F.col("x.role").alias("role"),
+    )
+
+
 def _bitmaps_allow(maps: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Which pairs can be similar: bits on one side only are shingles on one side only, in both sets together."""
     allowed = np.zeros(len(left), bool)
@@ -365,7 +416,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     documents that share a prefix shingle with another group; pairs. First each
     group is compared with one hub, then each node with one drawn from the
     largest component of each of its lists; what is left are pairs of a list
-    in different components, that sizes, places and bitmaps allow.
+    in different components, that sizes, places and bitmaps allow. Those are
+    found in slices of a fixed number of rows, however long a list.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -412,13 +464,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         drawn = stage(tried.groupBy("bucket").applyInArrow(_again(seed), _PAIRS).distinct(), "jaccard-pairs")
         labels = _joined(labels, _verified(drawn, texts))
     labelled = stage(_labelled(nodes, labels), "jaccard-labelled")
-    several = (
-        labelled.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("node").alias("leader"))
-        .where("low <> high")
-    )
-    # Lists go by their least node: those of one cluster mostly share it, so a bitmap goes to few buckets.
-    by_leader = stage(several.select("token", F.pmod(F.xxhash64("leader"), F.lit(n_groups)).alias("bucket")), "jaccard-open")
-    left = stage(labelled.join(by_leader, "token"), "jaccard-left")
+    left = stage(_sliced(labelled, n_groups), "jaccard-left")
     maps = texts.select(F.col(ID).alias("node"), "z").mapInArrow(_bitmaps, "node long, bits binary")
     met = stage(left.select("bucket", "node").distinct().join(maps, "node"), "jaccard-bitmaps")
     rest = stage(left.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")

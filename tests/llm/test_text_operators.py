@@ -110,6 +110,36 @@ def test_jaccard_of_a_chain_and_of_many_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == cases.components(texts)
 
 
+def test_jaccard_pairs_in_slices(spark, monkeypatch):
+    """What meets in a bucket does not grow with a list: links that only the last pass can find, over many slices."""
+    draw = cases.random.Random(4)
+    base = cases.sentence(draw, 120, 5000).split()
+    texts = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(2):
+            w[draw.randrange(len(w))] = f"e{draw.randrange(10**6)}"
+        texts.append((i, " ".join(w)))
+    monkeypatch.setattr(jaccard, "SLICE_ROWS", 16)
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    found = jaccard.summary(cases.frame(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == cases.components(texts)
+
+    # One list of one large component and a few nodes outside it.
+    rows = [(7, k, 0 if k < 900 else k, 50, 0) for k in range(1000)]
+    labelled = spark.createDataFrame(rows, "token long, node long, comp long, n int, at int")
+    sliced = jaccard._sliced(labelled, 4).collect()
+    sizes = cases.defaultdict(int)
+    for r in sliced:
+        sizes[r.token] += 1
+    assert max(sizes.values()) <= 5 * 16 and len(sizes) == -(-1000 // 16) * -(-100 // 16)
+    met = set()
+    for t in sizes:
+        lists = [r.node for r in sliced if r.token == t and r.role & 1]
+        met |= {(r.node, x) for r in sliced if r.token == t and r.role & 2 for x in lists}
+    assert met == {(a, b) for a in range(900, 1000) for b in range(1000)}
+
+
 def test_bitmaps_never_exclude_a_pair():
     import numpy as np
 
