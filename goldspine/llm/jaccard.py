@@ -37,8 +37,10 @@ ROUNDS = 1
 _PAIRS = "a long, b long"
 
 _POSTING = np.dtype([("token", "u8"), ("group", "u8"), ("n", "i4"), ("at", "i4")])
-_MEMBER = np.dtype([("group", "u8"), ("hi", "u8"), ("lo", "u8"), ("id", "i8"), ("n", "i4")])
+_MEMBER = np.dtype([("group", "u8"), ("hi", "u8"), ("lo", "u8"), ("node", "i8"), ("n", "i4")])
 _DOCUMENT = np.dtype([("id", "i8"), ("fp", "i8"), ("first", "i8"), ("n", "i4")])
+#: A document in the graph: a hash of its id and its text, so that texts of one id are apart.
+NODE = "_node"
 #: What a bucket is sent, and what it lists.
 POSTINGS, MEMBERS, DOCUMENTS, HUBS, COPIES = range(5)
 
@@ -93,16 +95,17 @@ def _prefixes(rarity: Broadcast, n_groups: int):
         for batch in pieces(batches, TEXT):
             postings, members, documents, posted = [], [], [], set()
             for part, data, offsets in chunks([batch], TEXT):
-                for i, f, found in zip(part.column(ID).to_pylist(), part.column(FP).to_pylist(), shingle_sets(data, offsets)):
+                keys = zip(*(part.column(c).to_pylist() for c in (ID, FP, NODE)))
+                for (i, f, node), found in zip(keys, shingle_sets(data, offsets)):
                     n = len(found)
-                    documents.append((i, f, i, n))
+                    documents.append((i, f, node, n))
                     if not n:
-                        members.append((0, 0, 0, i, 0))
+                        members.append((0, 0, 0, node, 0))
                         continue
                     by_rarity = np.argsort(order[slots(found, COUNTER_BITS)], kind="stable")
                     prefix = found[by_rarity[: _prefix_length(n)]]
                     group = int(mix(np.array([int(mix(prefix).sum()) ^ n], U64))[0])
-                    members.append((group, int(found.sum()), int(mix(found).sum()), i, n))
+                    members.append((group, int(found.sum()), int(mix(found).sum()), node, n))
                     if group not in posted:
                         posted.add(group)
                         rows = np.empty(len(prefix), _POSTING)
@@ -110,13 +113,13 @@ def _prefixes(rarity: Broadcast, n_groups: int):
                         postings.append(rows)
             if not documents:
                 continue
-            # Equal sets of the batch go on as the one of the least id.
+            # Equal sets of the batch go on as the one of the least node.
             ours, docs = np.array(members, _MEMBER), np.array(documents, _DOCUMENT)
-            by_set = np.lexsort((ours["id"], ours["lo"], ours["hi"]))
+            by_set = np.lexsort((ours["node"], ours["lo"], ours["hi"]))
             first = _first_of(ours["hi"][by_set], ours["lo"][by_set])
-            docs["first"][by_set] = ours["id"][by_set[np.flatnonzero(first)[np.cumsum(first) - 1]]]
-            docs["first"][docs["n"] == 0] = docs["id"][docs["n"] == 0]
-            yield pack(docs, digit(mix(docs["id"].view(U64)), n_groups), DOCUMENTS)
+            docs["first"][by_set] = ours["node"][by_set[np.flatnonzero(first)[np.cumsum(first) - 1]]]
+            docs["first"][docs["n"] == 0] = ours["node"][docs["n"] == 0]
+            yield pack(docs, digit(mix(ours["node"].view(U64)), n_groups), DOCUMENTS)
             ours = ours[by_set[first]]
             ours = ours[ours["n"] > 0]
             if len(ours):
@@ -165,12 +168,12 @@ def _lists(table: pa.Table) -> pa.Table:
         out.append(_listed(DOCUMENTS, len(docs), id=docs["id"], fp=docs["fp"], n=docs["n"], hub=docs["first"]))
     members = unpack(table, _MEMBER, MEMBERS)
     if len(members):
-        members = members[np.lexsort((members["id"], members["lo"], members["hi"], members["group"]))]
+        members = members[np.lexsort((members["node"], members["lo"], members["hi"], members["group"]))]
         first = _first_of(members["group"], members["hi"], members["lo"])
-        leader = members["id"][np.flatnonzero(first)[np.cumsum(first) - 1]]
+        leader = members["node"][np.flatnonzero(first)[np.cumsum(first) - 1]]
         ours = members[first]
-        out.append(_listed(MEMBERS, len(ours), group=ours["group"], id=ours["id"], n=ours["n"]))
-        out.append(_listed(COPIES, int((~first).sum()), id=members["id"][~first], hub=leader[~first]))
+        out.append(_listed(MEMBERS, len(ours), group=ours["group"], id=ours["node"], n=ours["n"]))
+        out.append(_listed(COPIES, int((~first).sum()), id=members["node"][~first], hub=leader[~first]))
     rows = unpack(table, _POSTING, POSTINGS)
     if len(rows):
         # A shingle that one group has, once or from several tasks, joins nothing.
@@ -211,7 +214,7 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column(TEXT).cast(pa.large_binary())
         packed = pa.array([squeeze.compress(x.as_buffer()) for x in texts], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(ID), batch.column(FP), packed], names=[ID, FP, "z"])
+        yield pa.RecordBatch.from_arrays([batch.column(NODE), packed], names=["node", "z"])
 
 
 def _set_of(packed: bytes) -> np.ndarray:
@@ -239,8 +242,8 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` that link. Texts of the first are met first, so those of a hub meet all of its pairs last."""
-    first = pairs.join(texts.select(F.col(ID).alias("a"), F.col("z").alias("zx")), "a")
-    both = first.join(texts.select(F.col(ID).alias("b"), F.col("z").alias("zy")), "b")
+    first = pairs.join(texts.select(F.col("node").alias("a"), F.col("z").alias("zx")), "a")
+    both = first.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zy")), "b")
     return both.select("a", "b", "zx", "zy").mapInArrow(_verify, "a long, b long")
 
 
@@ -404,12 +407,13 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``_id, _fp, n, component`` for each row of ``docs``: its set's size and the least id reachable by links.
+    """``_id, _fp, n, component`` for each row of ``docs``: its set's size and a key of what links reach.
 
     Words are runs of anything but blanks, with A-Z lower-cased. Null and empty
-    texts have empty sets, which link with nothing. Rows that share an id are
-    one node of the graph; a null id is the least id. Equal sets are the same
-    class from the start and are never compared.
+    texts have empty sets, which link with nothing. Rows link by their texts
+    alone: those that share an id, or have none, but not a text are apart. A
+    node is a 64-bit hash of id and text, and a component's key its least node.
+    Equal sets are the same class from the start and are never compared.
 
     Sets are 64-bit hashes of shingles. What is shuffled: a row of 24 bytes for
     each shingle of a prefix (a fifth of all), packed; compressed texts of those
@@ -421,7 +425,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """
     spark = docs.sparkSession
     small_batches(spark)
-    rows = keyed(docs, id_column, text_column)
+    rows = keyed(docs, id_column, text_column).withColumn(NODE, F.xxhash64(ID, FP))
     n_groups = buckets(spark, text_bytes(rows))
     rarity = spark.sparkContext.broadcast(_rarity(rows))
     listed = stage(
@@ -445,7 +449,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     met = members.join(lists.select("group").distinct(), "group", "semi").select("node").unionByName(together.select("node")).distinct()
     texts = stage(
-        rows.mapInArrow(_pack_texts, f"{ID} long, {FP} long, z binary").join(met.withColumnRenamed("node", ID), ID, "semi").dropDuplicates([ID, FP]),
+        rows.mapInArrow(_pack_texts, "node long, z binary").join(met, "node", "semi").dropDuplicates(["node"]),
         "jaccard-texts",
     )
     equal = of(COPIES).select(F.col("id").alias("a"), F.col("hub").alias("b"))
@@ -465,7 +469,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         labels = _joined(labels, _verified(drawn, texts))
     labelled = stage(_labelled(nodes, labels), "jaccard-labelled")
     left = stage(_sliced(labelled, n_groups), "jaccard-left")
-    maps = texts.select(F.col(ID).alias("node"), "z").mapInArrow(_bitmaps, "node long, bits binary")
+    maps = texts.mapInArrow(_bitmaps, "node long, bits binary")
     met = stage(left.select("bucket", "node").distinct().join(maps, "node"), "jaccard-bitmaps")
     rest = stage(left.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(_cross, _PAIRS).distinct(), "jaccard-pairs")
     final = _joined(labels, _verified(rest, texts))
@@ -475,6 +479,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    return near_duplicates(docs).select(
-        public_id("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("component") != NO_ID, F.col("component")).alias("component_id")
+    """Each row with the least id of its component; a null id is the least."""
+    found = stage(near_duplicates(docs), "jaccard-found")
+    least = found.groupBy("component").agg(F.min(ID).alias("least"), F.count("*").alias("rows"))
+    # Most rows are alone, and only the others look for their least id.
+    several = least.where("rows > 1").select("component", "least")
+    least_id = F.coalesce("least", ID)
+    return found.join(several, "component", "left").select(
+        public_id("doc_id"), F.col("n").alias("n_shingles"), F.when(least_id != NO_ID, least_id).alias("component_id")
     )

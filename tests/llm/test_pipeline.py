@@ -91,3 +91,16 @@ def test_rows_without_words_are_no_duplicates(spark, folder):
     docs = cases.frame(spark, [(1, None), (2, ""), (3, " "), (None, None), (4, "a b"), (5, "A b")])
     assert sorted(r.doc_id or -1 for r in corpus_pipeline.near_dedup(spark, docs, folder).collect()) == [-1, 1, 2, 3, 4]
     assert corpus_pipeline.near_dedup(spark, docs.withColumn("text", F.lit(None).cast("string")), folder).count() == 6
+
+
+def test_near_dedup_of_shared_and_null_ids(spark, tmp_path):
+    """Rows link by their texts: documents without an id, or of one id, stay if their texts differ."""
+    draw = cases.random.Random(8)
+    long = [cases.sentence(draw, 90, 5000) for _ in range(8)]
+    near = [" ".join([*t.split()[:-1], "changed"]) for t in long]
+    texts = [(None, t) for t in long[:4]] + [(5, long[4]), (5, long[5]), (6, long[6]), (7, long[7])]
+    texts += [(20, near[0]), (None, near[1]), (21, near[5]), (5, near[6]), (None, long[3])]
+    kept = corpus_pipeline.near_dedup(spark, cases.frame(spark, texts), str(tmp_path)).collect()
+    groups = [next(k for k, pair in enumerate(zip(long, near)) if r.text in pair) for r in kept]
+    assert sorted(groups) == list(range(8))
+    assert {(r.doc_id, k) for r, k in zip(kept, groups)} == {(None, 0), (None, 1), (None, 2), (None, 3), (5, 4), (5, 5), (5, 6), (7, 7)}
