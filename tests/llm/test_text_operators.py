@@ -110,6 +110,20 @@ def test_jaccard_of_a_chain_and_of_many_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == cases.components(texts)
 
 
+def test_jaccard_of_texts_that_share_an_id(spark):
+    """Each text has its own set: links of every one of them are found, and none between them by their id."""
+    draw = cases.random.Random(9)
+    long = [cases.sentence(draw, 60 + 9 * k, 5000) for k in range(6)]
+    near = [" ".join([*t.split()[:-1], "changed"]) for t in long]
+    texts = [(1 if k % 2 else None, t) for k, t in enumerate(long)] + [(10 + k, t) for k, t in enumerate(near)]
+    found = jaccard.near_duplicates(cases.frame(spark, texts)).collect()
+    by_key = {}
+    for r in found:
+        by_key.setdefault(r.component, []).append((plain_id(None if r._id == jaccard.NO_ID else r._id), r.n))
+    expected = [[(plain_id(1 if k % 2 else None), 56 + 9 * k), (10 + k, 56 + 9 * k)] for k in range(6)]
+    assert sorted(map(sorted, by_key.values())) == sorted(expected)
+
+
 def test_jaccard_pairs_in_slices(spark, monkeypatch):
     """What meets in a bucket does not grow with a list: links that only the last pass can find, over many slices."""
     draw = cases.random.Random(4)
