@@ -3,14 +3,15 @@
 Targets are shares of a word budget, filled by weight up to a cap of each
 source's size. A source takes whole documents: all of them once if its target
 reaches its size, and then blocks of documents in a permuted order until the
-target is met. A splitting tree hands each output shard its exact number of
+target is met; past the cut each document of the later blocks that still fits. A splitting tree hands each output shard its exact number of
 blocks of every source: a node's blocks are halved, each source's part of the
 left half follows the multivariate hypergeometric law, given by its block
 counts. Shards then draw disjoint runs of the permuted blocks and order their
 documents by hash. Every draw is a hash of names and numbers, so reruns agree.
 
 All of it is DataFrame operations. What meets in one task is one row for each
-source (targets), one row for each block (the cut), and one block's documents.
+source (targets), one row for each block (the cut, and each round past it), and
+one block's documents.
 """
 
 from __future__ import annotations
@@ -26,8 +27,6 @@ _BLANK = " \t\n\x0b\x0c\r"
 _SIGMAS = 8
 #: A source's blocks meet in one task; beyond these, blocks hold more documents.
 _MOST_BLOCKS = 1 << 16
-#: How many documents past the cut are tried for what is left of a target.
-_TAIL = 1024
 
 
 def _same(left: str, right: str, *keys: str) -> Column:
@@ -176,6 +175,40 @@ def split(quotas: DataFrame, depth: int, seed: int = 0) -> DataFrame:
     return leaves.withColumn("_first", F.coalesce(F.sum("_blocks").over(before), zero))
 
 
+def _fill(pool: DataFrame, state: DataFrame) -> DataFrame:
+    """``_source, _block, _o, _cut`` of the documents that a source takes: in order, each that fits what is left of ``_gap``.
+
+    Documents larger than the gap never fit. Of the others all are taken up to
+    the first that does not fit; from there on the same holds of the new gap,
+    which is smaller than that document. A round does this for all sources by
+    a running sum over blocks, and over the documents of a block.
+    """
+    of_source = W.partitionBy("_source").orderBy("_rank").rowsBetween(W.unboundedPreceding, -1)
+    of_block = W.partitionBy("_source", "_rank").orderBy("_o").rowsBetween(W.unboundedPreceding, 0)
+    state = state.select("_source", "_gap", F.lit(None).cast("struct<r:bigint,o:bigint>").alias("_from"))
+    chosen = None
+    while True:
+        state = stage(state, "mix-gaps")
+        if chosen is not None and state.isEmpty():
+            return chosen
+        place = F.struct(F.col("_rank").alias("r"), F.col("_o").alias("o"))
+        fitting = pool.alias("p").join(state.alias("s"), _same("p", "s")).where(
+            (F.col("size") <= F.col("_gap")) & (F.col("_from").isNull() | (place > F.col("_from")))
+        ).select("p._source", "_block", "_rank", "_cut", "_o", "size", "_gap")
+        blocks = fitting.groupBy("_source", "_rank").agg(F.sum("size").alias("_all"))
+        reached = blocks.select("_source", "_rank", F.coalesce(F.sum("_all").over(of_source), F.lit(0)).alias("_before"))
+        met = fitting.alias("f").join(reached.alias("r"), _same("f", "r", "_rank")).where(F.col("_before") <= F.col("_gap")).select(
+            "f._source", "_block", "f._rank", "_cut", "_o", "size", "_gap", "_before"
+        )
+        summed = stage(met.withColumn("_run", F.col("_before") + F.sum("size").over(of_block)), "mix-fill")
+        taken = summed.where("_run <= _gap").select("_source", "_block", "_o", "_cut")
+        chosen = taken if chosen is None else chosen.unionByName(taken)
+        state = summed.groupBy("_source").agg(
+            (F.first("_gap") - F.coalesce(F.max(F.when(F.col("_run") <= F.col("_gap"), F.col("_run"))), F.lit(0))).alias("_gap"),
+            F.min(F.when(F.col("_run") > F.col("_gap"), place)).alias("_from"),
+        ).where(F.col("_from").isNotNull())
+
+
 def mix(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
     weights: Sequence[float] = (3, 1, 2), budget: float = 1.5, cap: float = 2.0,
@@ -211,30 +244,17 @@ def mix(
         F.coalesce(F.sum("_size").over(permuted.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
     ).withColumn("_left", F.col("_more") - F.col("_before"))
     cut = stage(ranked.select("_source", "_block", "_size", "_rank", "_whole", "_left"), "mix-blocks")
-    # The block that holds the cut: documents in permuted order up to it, and of the
-    # next ones, each that still fits.
-    boundary = cut.where((F.col("_left") > 0) & (F.col("_left") < F.col("_size"))).select("_source", "_block", "_left")
-    inside = blocked.alias("b").join(boundary.alias("c"), _same("b", "c", "_block")).select(
-        "b._source", "b._block", "_left", "size", F.xxhash64(F.lit(seed), F.lit("doc"), ID, FP).alias("_o")
-    )
-    in_block = W.partitionBy("_source", "_block").orderBy("_o")
-    running = inside.withColumn("_run", F.sum("size").over(in_block.rowsBetween(W.unboundedPreceding, 0)))
-    whole_part = running.where(F.col("_run") <= F.col("_left")).select("_source", "_block", "_o")
-    tail = running.where(F.col("_run") > F.col("_left")).withColumn("_n", F.row_number().over(in_block)).where(F.col("_n") <= _TAIL)
-    gathered = tail.groupBy("_source", "_block").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_n").alias("n"), F.col("_o").alias("o"), F.col("size").alias("z")))).alias("_docs"),
-        F.max(F.when(F.col("_n") == 1, F.col("_left") - F.col("_run") + F.col("size"))).alias("_gap"),
-    )
-    fits = F.aggregate(
-        "_docs", F.struct(F.col("_gap").alias("left"), F.array().cast("array<bigint>").alias("taken")),
-        lambda a, x: F.struct(
-            F.when(x["z"] <= a["left"], a["left"] - x["z"]).otherwise(a["left"]).alias("left"),
-            F.when(x["z"] <= a["left"], F.concat(a["taken"], F.array(x["o"]))).otherwise(a["taken"]).alias("taken"),
-        ),
-        lambda a: a["taken"],
-    )
-    chosen = whole_part.unionByName(gathered.select("_source", "_block", F.explode(fits).alias("_o"))).distinct()
     partial = (F.col("_left") > 0) & (F.col("_left") < F.col("_size"))
+    # From the block that holds the cut on: each document that still fits. Those of
+    # later blocks go with the block of the cut.
+    boundary = cut.where(partial).select("_source", F.col("_rank").alias("_cut"), F.col("_left").alias("_gap"))
+    beyond = cut.alias("d").join(boundary.alias("c"), _same("d", "c")).where(F.col("_rank") >= F.col("_cut")).select(
+        "d._source", "_block", "_rank", "_cut", "_gap"
+    )
+    pool = blocked.alias("b").join(beyond.alias("c"), _same("b", "c", "_block")).where(
+        (F.col("size") <= F.col("_gap")) & ((F.col("size") > 0) | (F.col("_rank") == F.col("_cut")))
+    ).groupBy("b._source", "b._block", "_rank", "_cut", F.xxhash64(F.lit(seed), F.lit("doc"), ID, FP).alias("_o")).agg(F.sum("b.size").alias("size"))
+    chosen = _fill(stage(pool, "mix-pool"), boundary)
     passes = F.col("_whole") + F.when((F.col("_left") >= F.col("_size")) & (F.col("_left") > 0), 1).otherwise(0)
     everywhere = cut.select("_source", "_block", "_rank", passes.alias("_passes"))
     placed = blocked.alias("b").join(everywhere.alias("e"), _same("b", "e", "_block")).select(
@@ -247,6 +267,8 @@ def mix(
     counted = stage(p.select(
         ID, FP, "size", "p._source", "p._block", "source_size", "target", "_rank", "p._o",
         (F.col("_passes") + F.when(F.col("c._o").isNotNull(), 1).otherwise(0)).alias("copies"),
+        # Where the last copy is placed.
+        F.coalesce("c._cut", "_rank").alias("_last"),
     ), "mix-documents")
     # A source's blocks are (pass, block); the block of the cut is one of them.
     spans = cut.select("_source", "_block", "_rank", (passes + F.when(partial, 1).otherwise(0)).alias("_n"))
@@ -254,10 +276,12 @@ def mix(
     shards = split(quotas.select("_source", "_blocks"), depth, seed)
     ranges = shards.groupBy("_source").agg(F.array_sort(F.collect_list(F.struct((F.col("_first") + F.col("_blocks")).alias("e"), F.col("_shard").alias("s")))).alias("_ends"))
     q = quotas.alias("q").join(ranges.alias("g"), _same("q", "g")).select("q._source", "_parts", "_ends")
-    copies = counted.where(F.col("copies") > 0).select(ID, FP, "_source", "_rank", "_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_copy"))
+    copies = counted.where(F.col("copies") > 0).select(
+        ID, FP, "_source", "_o", "copies", "_rank", "_last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_copy")
+    )
     c = copies.alias("c").join(q.alias("q"), _same("c", "q"))
     # Pass 0 of the blocks in permuted order, then pass 1; a place beyond the last end cannot be.
-    place = F.col("_copy") * F.col("_parts") + F.col("_rank")
+    place = F.col("_copy") * F.col("_parts") + F.when(F.col("_copy") == F.col("copies") - 1, F.col("_last")).otherwise(F.col("_rank"))
     shard = F.get(F.filter("_ends", lambda x: x["e"] > place), F.lit(0))["s"]
     mixed = c.select(ID, FP, "_copy", shard.alias("_shard"), F.xxhash64(F.lit(seed), F.lit("order"), ID, FP, "_copy").alias("_order"))
     return counted, mixed

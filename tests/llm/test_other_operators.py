@@ -45,6 +45,32 @@ def test_mix_meets_targets(spark):
     assert mixing.summary(docs.limit(0)).count() == 0
 
 
+def test_mix_fills_past_a_long_document(spark):
+    """One document of a tenth of its source's words, in many sources: nothing that is left fits what is left of a target."""
+    draw = cases.random.Random(12)
+    rows = []
+    for s in range(24):
+        for k in range(60):
+            n = draw.randrange(10, 40) if k else 160
+            rows.append((100 * s + k, " ".join(["w"] * n), f"s{s:02}"))
+    rows += rows[:3]  # repeated rows are taken alike
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    documents, mixed = mixing.mix(docs, block_docs=4, depth=2)
+    found, later = documents.collect(), 0
+    for s in {r._source for r in found}:
+        ours = [r for r in found if r._source == s]
+        whole = int(ours[0].target // ours[0].source_size)
+        gap = ours[0].target - sum(r.size * r.copies for r in ours)
+        rest = [r.size for r in ours if r.copies == whole]
+        assert {r.copies for r in ours} <= {whole, whole + 1}
+        assert 0 <= gap and (not rest or gap < min(rest))
+        later += any(r._last != r._rank for r in ours)
+    assert later
+    copies = {(r._id, r._fp): r.copies for r in found}
+    placed = mixed.groupBy("_id", "_fp").agg(F.countDistinct("_copy").alias("n"), F.count(F.when(F.col("_shard").isNull(), 1)).alias("none")).collect()
+    assert {(r._id, r._fp): r.n for r in placed} == {k: n for k, n in copies.items() if n} and not any(r.none for r in placed)
+
+
 def test_shards_get_all_blocks_once(spark):
     docs = cases.frame(spark, [(i, "a b c d e") for i in range(1000)], ["a", "a", "b"])
     documents, mixed = mixing.mix(docs, block_docs=4, depth=3)
