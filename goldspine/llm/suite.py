@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldspine.llm import chat, jaccard, lines, mixing, repeats, rules, toxicity, warc, weak_quality, winnow
+from goldspine.llm import (
+    centroids, chat, jaccard, lines, mixing, part_codes, repeats, rules, secret_scan, toxicity, warc, weak_quality, winnow,
+)
 from goldspine.suite.tables import read
 
 
@@ -51,6 +53,18 @@ def op10_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.summary(turns.unionByName(marked))
 
 
+def op11_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.summary(read(spark, sf, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.summary(read(spark, sf, "embeddings"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return part_codes.summary(read(spark, sf, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -62,6 +76,9 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_warc": op9_warc,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_vector_codes": op13_vector_codes,
 }
 ORACLES = {
     "op2_quality_rules": rules.ORACLE,
@@ -69,4 +86,7 @@ ORACLES = {
     "op8_benchmark_decontamination": winnow.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
+    "op11_secret_scan": secret_scan.ORACLE,
+    "op12_centroid_clustering": centroids.ORACLE,
+    "op13_vector_codes": part_codes.ORACLE,
 }
