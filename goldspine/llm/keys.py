@@ -3,7 +3,8 @@
 Every operator first projects its input to the columns below, so further
 columns of the input, whatever their names, neither clash nor travel along.
 
-* ``_id``: the id as a long; a null id ranks first, as the smallest long.
+* ``_id``: the id as a long; a null id ranks first, as the smallest long. Ids
+  must be whole numbers, or text of such: anything else ends the job.
 * ``_fp``: a hash of the text. Rows that share an id but not a text stay apart;
   rows that share both are copies of one row and get the same result each.
 """
@@ -17,8 +18,9 @@ ID, FP, TEXT = "_id", "_fp", "_text"
 
 
 def keyed(rows: DataFrame, id_column: str, text_column: str, *more: Column) -> DataFrame:
-    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    rank = F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID))
+    """``_id, _fp, _text`` and ``more``; names are taken as they are, dots and all."""
+    text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
+    rank = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID))
     return rows.select(rank.alias(ID), F.xxhash64(text).alias(FP), text.alias(TEXT), *more)
 
 

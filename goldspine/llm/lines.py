@@ -27,9 +27,13 @@ def _lines() -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 10, min_documents: int = 2
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_chars: int = 10, min_documents: int = 2,
+    counts: bool = True,
 ) -> DataFrame:
-    """All columns of ``docs`` with the kept text, and ``_n_lines``, ``_n_dropped``.
+    """All columns of ``docs`` with the kept text, and with ``counts`` also ``_n_lines``, ``_n_dropped``.
+
+    Columns of ``docs`` by these two names give way to the counts; without
+    ``counts`` the columns are those of ``docs``.
 
     A line's key is the line without blanks at its ends, A-Z lower-cased. A key
     of ``min_chars`` code points that ``min_documents`` ids hold loses all its
@@ -68,7 +72,10 @@ def dedup_lines(
         F.coalesce(F.size("_drops"), F.lit(0)).cast("long").alias("_n_dropped"),
     )
     columns = [F.col("_kept").alias(c) if c == text_column else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns]
-    return out.select(*columns, "_n_lines", "_n_dropped")
+    if not counts:
+        return out.select(*columns)
+    own = ("_n_lines", "_n_dropped")
+    return out.select(*[c for c, name in zip(columns, docs.columns) if name not in own], *own)
 
 
 def summary(docs: DataFrame) -> DataFrame:

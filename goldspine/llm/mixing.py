@@ -29,7 +29,7 @@ _SIGMAS = 8
 _MOST_BLOCKS = 1 << 16
 
 
-def _same(left: str, right: str, *keys: str) -> Column:
+def same_source(left: str, right: str, *keys: str) -> Column:
     """Equal sources, null being one, and equal keys."""
     on = F.col(f"{left}._source").eqNullSafe(F.col(f"{right}._source"))
     for key in keys:
@@ -192,12 +192,12 @@ def _fill(pool: DataFrame, state: DataFrame) -> DataFrame:
         if chosen is not None and state.isEmpty():
             return chosen
         place = F.struct(F.col("_rank").alias("r"), F.col("_o").alias("o"))
-        fitting = pool.alias("p").join(state.alias("s"), _same("p", "s")).where(
+        fitting = pool.alias("p").join(state.alias("s"), same_source("p", "s")).where(
             (F.col("size") <= F.col("_gap")) & (F.col("_from").isNull() | (place > F.col("_from")))
         ).select("p._source", "_block", "_rank", "_cut", "_o", "size", "_gap")
         blocks = fitting.groupBy("_source", "_rank").agg(F.sum("size").alias("_all"))
         reached = blocks.select("_source", "_rank", F.coalesce(F.sum("_all").over(of_source), F.lit(0)).alias("_before"))
-        met = fitting.alias("f").join(reached.alias("r"), _same("f", "r", "_rank")).where(F.col("_before") <= F.col("_gap")).select(
+        met = fitting.alias("f").join(reached.alias("r"), same_source("f", "r", "_rank")).where(F.col("_before") <= F.col("_gap")).select(
             "f._source", "_block", "f._rank", "_cut", "_o", "size", "_gap", "_before"
         )
         summed = stage(met.withColumn("_run", F.col("_before") + F.sum("size").over(of_block)), "mix-fill")
@@ -217,10 +217,11 @@ def mix(
     """The sources' documents with their targets, and the mix: a row for each copy of a document taken.
 
     Documents: ``_id, _fp, size, _source, source_size, target``. Mix: ``_id,
-    _fp, _copy, _shard, _order``; a shard is to be written in ``_order``. Null
-    texts have size 0 and null sources are a source of their own. A source
-    without words has target 0 and takes nothing. Rows that are equal in id
-    and text are taken alike. An empty table mixes to an empty one.
+    _fp, _source, _copy, _shard, _order``; a shard is to be written in ``_order``.
+    Null texts have size 0 and null sources are a source of their own. A source
+    without words has target 0 and takes nothing. Rows that are equal in id,
+    text and source are taken alike; those of two sources are two documents.
+    An empty table mixes to an empty one.
     """
     source = F.col(f"`{source_column}`").cast("string").alias("_source")
     rows = stage(keyed(docs, id_column, text_column, source).select(ID, FP, "_source", _words().alias("size")), "mix-sizes")
@@ -232,7 +233,7 @@ def mix(
         .withColumn("_parts", F.least(F.lit(_MOST_BLOCKS), F.ceil(F.col("_docs") / block_docs)).cast("long")),
         "mix-targets",
     )
-    blocked = rows.alias("r").join(aims.alias("a"), _same("r", "a")).select(
+    blocked = rows.alias("r").join(aims.alias("a"), same_source("r", "a")).select(
         ID, FP, "size", "r._source", "source_size", "target", "_whole", "_more",
         F.pmod(F.xxhash64(F.lit(seed), ID, FP), F.col("_parts")).alias("_block"),
     )
@@ -248,21 +249,21 @@ def mix(
     # From the block that holds the cut on: each document that still fits. Those of
     # later blocks go with the block of the cut.
     boundary = cut.where(partial).select("_source", F.col("_rank").alias("_cut"), F.col("_left").alias("_gap"))
-    beyond = cut.alias("d").join(boundary.alias("c"), _same("d", "c")).where(F.col("_rank") >= F.col("_cut")).select(
+    beyond = cut.alias("d").join(boundary.alias("c"), same_source("d", "c")).where(F.col("_rank") >= F.col("_cut")).select(
         "d._source", "_block", "_rank", "_cut", "_gap"
     )
-    pool = blocked.alias("b").join(beyond.alias("c"), _same("b", "c", "_block")).where(
+    pool = blocked.alias("b").join(beyond.alias("c"), same_source("b", "c", "_block")).where(
         (F.col("size") <= F.col("_gap")) & ((F.col("size") > 0) | (F.col("_rank") == F.col("_cut")))
     ).groupBy("b._source", "b._block", "_rank", "_cut", F.xxhash64(F.lit(seed), F.lit("doc"), ID, FP).alias("_o")).agg(F.sum("b.size").alias("size"))
     chosen = _fill(stage(pool, "mix-pool"), boundary)
     passes = F.col("_whole") + F.when((F.col("_left") >= F.col("_size")) & (F.col("_left") > 0), 1).otherwise(0)
     everywhere = cut.select("_source", "_block", "_rank", passes.alias("_passes"))
-    placed = blocked.alias("b").join(everywhere.alias("e"), _same("b", "e", "_block")).select(
+    placed = blocked.alias("b").join(everywhere.alias("e"), same_source("b", "e", "_block")).select(
         ID, FP, "size", "b._source", "b._block", "source_size", "target", "_rank", "_passes",
         F.xxhash64(F.lit(seed), F.lit("doc"), ID, FP).alias("_o"),
     )
     p = placed.alias("p").join(
-        chosen.alias("c"), _same("p", "c", "_block", "_o"), "left"
+        chosen.alias("c"), same_source("p", "c", "_block", "_o"), "left"
     )
     counted = stage(p.select(
         ID, FP, "size", "p._source", "p._block", "source_size", "target", "_rank", "p._o",
@@ -275,24 +276,25 @@ def mix(
     quotas = spans.groupBy("_source").agg(F.sum("_n").alias("_blocks"), F.count("_n").alias("_parts"))
     shards = split(quotas.select("_source", "_blocks"), depth, seed)
     ranges = shards.groupBy("_source").agg(F.array_sort(F.collect_list(F.struct((F.col("_first") + F.col("_blocks")).alias("e"), F.col("_shard").alias("s")))).alias("_ends"))
-    q = quotas.alias("q").join(ranges.alias("g"), _same("q", "g")).select("q._source", "_parts", "_ends")
+    q = quotas.alias("q").join(ranges.alias("g"), same_source("q", "g")).select("q._source", "_parts", "_ends")
     copies = counted.where(F.col("copies") > 0).select(
         ID, FP, "_source", "_o", "copies", "_rank", "_last", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("_copy")
     )
-    c = copies.alias("c").join(q.alias("q"), _same("c", "q"))
+    c = copies.alias("c").join(q.alias("q"), same_source("c", "q"))
     # Pass 0 of the blocks in permuted order, then pass 1; a place beyond the last end cannot be.
     place = F.col("_copy") * F.col("_parts") + F.when(F.col("_copy") == F.col("copies") - 1, F.col("_last")).otherwise(F.col("_rank"))
     shard = F.get(F.filter("_ends", lambda x: x["e"] > place), F.lit(0))["s"]
-    mixed = c.select(ID, FP, "_copy", shard.alias("_shard"), F.xxhash64(F.lit(seed), F.lit("order"), ID, FP, "_copy").alias("_order"))
+    mixed = c.select(ID, FP, "c._source", "_copy", shard.alias("_shard"), F.xxhash64(F.lit(seed), F.lit("order"), ID, FP, "_copy").alias("_order"))
     return counted, mixed
 
 
 def summary(docs: DataFrame) -> DataFrame:
     documents, mixed = mix(docs)
-    taken = mixed.groupBy(ID, FP, "_copy").agg(F.min("_shard").alias("_shard")).groupBy(ID, FP).agg(
+    taken = mixed.groupBy(ID, FP, "_source", "_copy").agg(F.min("_shard").alias("_shard")).groupBy(ID, FP, "_source").agg(
         F.count("_copy").alias("_n"), F.array_join(F.transform(F.array_sort(F.collect_list("_shard")), lambda s: s.cast("string")), ",").alias("shards")
     )
-    return documents.join(taken, [ID, FP], "left").select(
+    found = documents.alias("d").join(taken.alias("t"), same_source("d", "t", ID, FP), "left").select("d.*", "_n", "shards")
+    return found.select(
         public_id("doc_id"), "size", "source_size", "target",
         (F.col("size") * F.coalesce("_n", F.lit(0))).alias("taken"), F.coalesce("shards", F.lit("")).alias("shards"),
     )

@@ -138,8 +138,8 @@ _roots = np.vectorize(_ceil_root, otypes=[np.int64])
 
 def usual_length(rows: DataFrame, vector_column: str, parts: int) -> int:
     """The commonest length of finite vectors that can be cut into parts; the larger of equally common ones, 0 of none."""
-    size = F.size(vector_column)
-    fitting = rows.where(finite(vector_column) & (size > 0) & (size % parts == 0))
+    size = F.size(f"`{vector_column}`")
+    fitting = rows.where(finite(f"`{vector_column}`") & (size > 0) & (size % parts == 0))
     counts = fitting.groupBy(size.alias("n")).agg(F.count("*").alias("rows"))
     first = counts.orderBy(F.desc("rows"), F.desc("n")).first()
     return first.n if first else 0

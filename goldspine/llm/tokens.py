@@ -2,7 +2,9 @@
 
 A span's hash is a polynomial over random values of its bytes, taken from
 prefix sums, so any number of spans costs a few vector operations. Where two
-hashes are compared across a corpus, two lanes (128 bits) are used.
+hashes are compared across a corpus, two lanes (128 bits) are used. Sums are
+modulo 2**64, in which long texts of two alternating parts can be made to meet
+whatever the base; words beyond ``LONG_WORD`` are therefore hashed modulo a prime.
 """
 
 from __future__ import annotations
@@ -38,6 +40,46 @@ def _byte_values(lane: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(_BASES[lane]))
 
 
+#: Bytes of a word that is hashed modulo a prime, and of the pieces it is taken in.
+LONG_WORD, _PIECE = 64, 4096
+_PRIME = (1 << 61) - 1
+
+
+@lru_cache(LANES)
+def _field_powers(lane: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The base's powers modulo the prime, their lower 31 bits and the rest apart, and the one after the last."""
+    base, power, powers = _BASES[lane] % _PRIME, 1, []
+    for _ in range(_PIECE):
+        powers.append(power)
+        power = power * base % _PRIME
+    whole = np.array(powers, U64)
+    return whole & U64((1 << 31) - 1), whole >> U64(31), power
+
+
+def _field_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int) -> np.ndarray:
+    """Hashes of byte spans as polynomials modulo a prime, from the pieces of each."""
+    low, high, step = _field_powers(lane)
+    pieces = -(-(ends - starts) // _PIECE)
+    owner = np.repeat(np.arange(len(starts)), pieces)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begins = starts[owner] + number * _PIECE
+    sizes = np.minimum(_PIECE, ends[owner] - begins)
+    firsts = np.cumsum(sizes) - sizes
+    place = np.arange(sizes.sum()) - np.repeat(firsts, sizes)
+    values = data[np.repeat(begins, sizes) + place].astype(U64) + U64(1)
+    # A byte's value times 31 bits, 4096 times: well below 2**64.
+    sums = [np.add.reduceat(values * part[place], firsts) for part in (low, high)]
+    out = []
+    for n, a, b in zip(number.tolist(), sums[0].tolist(), sums[1].tolist()):
+        piece = (a + (b << 31)) % _PRIME
+        if n:
+            piece = (out.pop() * step + piece) % _PRIME
+        out.append(piece)
+    return mix(np.array(out, U64) + (ends - starts).astype(U64) * U64(_BASES[1 - lane]))
+
+
+#: Powers kept for the next texts; those of a longer text go with it.
+_KEPT = 1 << 21
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -51,7 +93,9 @@ def _powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             steps = np.full(size, base, U64)
             steps[0] = 1
             both.append(np.cumprod(steps))
-        have = _POWERS[lane] = (both[0], both[1])
+        have = (both[0], both[1])
+        if size <= _KEPT:
+            _POWERS[lane] = have
     return have
 
 
@@ -149,6 +193,10 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, lanes: int =
     ends[borders - 1] |= inside[borders - 1]
     first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     found = [Spans(folded, lane).hash(first, last) for lane in range(lanes)]
+    long = np.flatnonzero(last - first > LONG_WORD)
+    if len(long):
+        for lane in range(lanes):
+            found[lane][long] = _field_hashes(folded, first[long], last[long], lane)
     return found, np.searchsorted(first, offsets)
 
 

@@ -60,7 +60,7 @@ def integers(rows: DataFrame, id_column: str, vector_column: str, scale: int, di
     A null id ranks first. Components beyond ``LARGEST / scale`` end the job.
     """
     kept = rows.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias(ID), F.col(vector_column).cast("array<double>").alias(VALUES), *more
+        F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(NO_ID)).alias(ID), F.col(f"`{vector_column}`").cast("array<double>").alias(VALUES), *more
     ).where((F.size(VALUES) == dims) & finite(VALUES))
     fields = ", ".join(f"{f.name} {'binary' if f.name == VALUES else f.dataType.simpleString()}" for f in kept.schema)
     return stage(kept.mapInArrow(_floors(scale, dims), fields), label)

@@ -28,6 +28,8 @@ MIN_REVISIT = 100
 FILE_BYTES = 64 << 20
 #: Ranges with a smaller gap are read as one, up to this length.
 GAP_BYTES, RANGE_BYTES = 64 << 10, 4 << 20
+#: What a task reads back, about, in many ranges.
+TASK_BYTES = 32 << 20
 _DATE = datetime(2000, 1, 1, tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 _NAMES = uuid.UUID("6b1f4c7e-63c5-4a43-9a4f-0d6a6f5a9b10")
 _INDEX = f"{ID} long, url string, record_type string, digest string, file string, offset long, length long"
@@ -169,8 +171,11 @@ def _reader(folder: str):
                     if payload is not None and hashlib.sha256(payload).hexdigest() != digest:
                         raise ValueError(f"{name} at {part['offset']}: the payload has another digest")
                     refers = headers.get("x-refers-to-page")
+                    size = int(headers["x-payload-length"])
+                    if payload is not None and len(payload) != size:
+                        raise ValueError(f"{name} at {part['offset']}: the payload has {len(payload)} bytes, {size} announced")
                     rows.append((
-                        int(headers["x-page-id"]), headers["warc-target-uri"], headers["warc-type"], int(headers["x-payload-length"]), digest,
+                        int(headers["x-page-id"]), headers["warc-target-uri"], headers["warc-type"], size if payload is None else len(payload), digest,
                         None if refers is None else int(refers), payload,
                     ))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RECORD_TYPES)], schema=_RECORD_TYPES)
@@ -182,9 +187,13 @@ def read_archive(index: DataFrame, folder: str) -> DataFrame:
     """The records of the given index rows: ``_id, url, record_type, payload_bytes, payload_digest, refers_to, payload``.
 
     ``index`` may be any selection of an index. A payload is checked against its
-    digest; a revisit has none of its own.
+    digest and its length; a revisit has none of its own. An empty selection
+    gives no record. Ranges are dealt out by the bytes they are to read, not by
+    the size of the index.
     """
-    return _ranges(index).mapInArrow(_reader(folder), _RECORD)
+    found = index.agg(F.sum("length").alias("bytes")).first().bytes or 0
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-found // TASK_BYTES))
+    return _ranges(index).repartition(tasks).mapInArrow(_reader(folder), _RECORD)
 
 
 def summary(pages: DataFrame) -> DataFrame:

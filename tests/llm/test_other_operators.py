@@ -71,6 +71,24 @@ def test_mix_fills_past_a_long_document(spark):
     assert {(r._id, r._fp): r.n for r in placed} == {k: n for k, n in copies.items() if n} and not any(r.none for r in placed)
 
 
+def test_a_row_of_two_sources_is_two_documents(spark):
+    """The same id and text in sources that take different shares: each takes its own."""
+    shared = [(i, cases.sentence(cases.random.Random(i), 30 + i % 40)) for i in range(120)]
+    rows = [(i, t, s) for i, t in shared for s in ("a", "b")] + [(1000 + i, cases.sentence(cases.random.Random(i), 50), "b") for i in range(500)]
+    rows += [(i, t, None) for i, t in shared[:10]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("a", "b", None)}
+    aims, taken = cases.targets(sizes), dict.fromkeys(sizes, 0)
+    found = mixing.summary(docs).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        source = next(s for s, t in aims.items() if t == pytest.approx(r.target))
+        assert r.taken <= 2 * r.size and r.source_size == sizes[source]
+        taken[source] += r.taken
+    for s, t in aims.items():
+        assert 0 <= t - taken[s] <= 100
+
+
 def test_shards_get_all_blocks_once(spark):
     docs = cases.frame(spark, [(i, "a b c d e") for i in range(1000)], ["a", "a", "b"])
     documents, mixed = mixing.mix(docs, block_docs=4, depth=3)
@@ -181,6 +199,7 @@ def test_warc_reads_selected_records(spark):
     chosen = warc.read_archive(index.where("url like '%7'"), folder).collect()
     assert {r._id: r.payload.decode() for r in chosen if r.payload is not None} == {i: f"<p>{i}" * (i % 70) for i in range(300) if i % 10 == 7}
     ranges = warc._ranges(index).collect()
+    assert warc.read_archive(index.limit(0), folder).count() == 0
     assert len(ranges) == len({r.file for r in index.collect()})
     assert sum(len(r.parts) for r in ranges) == 300
 

@@ -206,3 +206,40 @@ def test_winnow_finds_every_shared_span(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     found = {r.doc_id: r.n_hit for r in winnow.summary(cases.frame(spark, texts), items).collect()}
     assert found == {**{k: 10 for k in range(21)}, 99: 0}
+
+
+def test_long_alternating_words_are_told_apart(spark):
+    """A word of letters in Thue-Morse order and its complement meet in every sum modulo 2**64."""
+    order = [bin(k).count("1") % 2 for k in range(4096)]
+    for parts in (("a", "b"), ("abcdefgh", "hgfedcba")):
+        one, other = ("".join(parts[k ^ flip] for k in order) for flip in (0, 1))
+        assert one != other and len(one) == len(other)
+        texts = [(1, f"x {one} y z u v"), (2, f"x {other} y z u v"), (3, f"x {one} y z u v")]
+        found = {r.doc_id: r.component_id for r in jaccard.summary(cases.frame(spark, texts)).collect()}
+        assert found == {1: 1, 2: 2, 3: 1}
+        items = spark.createDataFrame([(7, one)], "item_id long, text string")
+        assert {r.doc_id: r.n_hit for r in winnow.summary(cases.frame(spark, texts), items).collect()} == {1: 1, 2: 0, 3: 1}
+
+
+def test_fingerprints_are_thinned_and_extended(spark):
+    """A long shared passage meets in few fingerprints, and all of its words are found."""
+    draw = cases.random.Random(11)
+    passage = cases.sentence(draw, 200, 10**6)
+    docs = cases.frame(spark, [(1, cases.sentence(draw, 50) + " " + passage + " " + cases.sentence(draw, 50)), (2, passage[:40]), (3, "w " * 30)])
+    items = spark.createDataFrame([(1, "before it " + passage + " and after"), (2, "w w w w w w w w w w w"), (3, None)], "item_id long, text string")
+    _, spans, _ = winnow.find_spans(docs, items)
+    met = spans.where("_id = 1").select("s", "e").distinct().collect()
+    assert 20 < len(met) < 110 and min(r.s for r in met) == 50 and max(r.e for r in met) == 250
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in winnow.summary(docs, items).collect()} == {1: (200, 1), 2: (0, 0), 3: (30, 1)}
+
+
+def test_clashing_and_dotted_names(spark):
+    rows = [(1, "A line of words\nother words here", 5, 6), (2, "a line of words", None, 7)]
+    docs = spark.createDataFrame(rows, "`d.id` long, `the.text` string, _n_lines int, _n_dropped int")
+    got = lines.dedup_lines(docs, "d.id", "the.text")
+    assert sorted(got.columns) == sorted(docs.columns)
+    assert sorted(map(tuple, got.select("`d.id`", "`the.text`", "_n_lines", "_n_dropped").collect())) == [(1, rows[0][1], 2, 0), (2, "", 1, 1)]
+    kept = lines.dedup_lines(docs, "d.id", "the.text", counts=False)
+    assert kept.columns == docs.columns and {tuple(r)[2:] for r in kept.collect()} == {(5, 6), (None, 7)}
+    assert jaccard.near_duplicates(docs, "d.id", "the.text").count() == 2
+    assert repeats.remove_repeats(docs, "d.id", "the.text").count() == 2
