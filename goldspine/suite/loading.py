@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.operators import quality as Q
-from goldspine.operators.crud import ForeignKey, create_rows, replace_rows
+from goldspine.operators.crud import REASON, ForeignKey, create_rows, judge_replacements, replace_rows, split
 from goldspine.operators.joins import childless, orphans
 from goldspine.operators.referential import cascade_delete, cascade_key, delete_rows, set_null
 from goldspine.operators.upsert import CHANGE, new_keys, resolve_ids, upsert
@@ -63,20 +63,20 @@ def star_load_subregions(spark: SparkSession, sf: str) -> DataFrame:
     return new_keys(resolved, none, ["region_id", "subregion_name"])
 
 
-def _yearly(spark: SparkSession, sf: str, status: str) -> DataFrame:
-    orders = read(spark, sf, "orders").where(F.col("o_orderstatus") == status)
+def _yearly(spark: SparkSession, sf: str, finished: bool) -> DataFrame:
+    orders = read(spark, sf, "orders").where((F.col("o_orderstatus") == "F") == F.lit(finished))
     return orders.groupBy(F.col("o_custkey").alias("country_id"), F.year("o_orderdate").alias("indicator_year")).agg(
         F.count("*").alias("population"), F.sum(F.col("o_totalprice").cast("decimal(22,2)")).cast("decimal(22,2)").alias("gdp_usd")
     )
 
 
 def star_load_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """Yearly order totals: finished orders are stored, open orders are loaded."""
-    stored = _yearly(spark, sf, "F").select(
+    """Yearly order totals: finished orders are stored, all others are loaded."""
+    stored = _yearly(spark, sf, True).select(
         (F.col("country_id") * 10000 + F.col("indicator_year")).alias("fact_id"), "country_id", "indicator_year",
         "population", "gdp_usd", F.lit("stored").alias("loaded_at"),
     )
-    incoming = _yearly(spark, sf, "O").where(F.coalesce("population", "gdp_usd").isNotNull())
+    incoming = _yearly(spark, sf, False).where(F.coalesce("population", "gdp_usd").isNotNull())
     merged, start = upsert_with_ids(stored, incoming, ["country_id", "indicator_year"], "fact_id", F.lit("loaded"))
     expected = F.col("country_id") * 10000 + F.col("indicator_year")
     return merged.select(
@@ -135,6 +135,41 @@ def batch_create_split(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("event_id", "user_id", "event_type", "reason")
 
 
+def batch_create_two_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as new rows under two unique keys that chain a thousand of them; cheap ones break a rule, some are stored."""
+    number = F.col("o_orderkey")
+    group, place = F.floor(number / 1000) * 1000, number % 1000
+    orders = read(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", (group + F.floor(place / 2)).alias("a"), (group + F.floor((place + 1) / 2)).alias("b")
+    )
+    stored = orders.where(number % 5000 == 17).select("a", "b")
+    judged = create_rows(orders.where(number % 5000 != 17), stored, [["a"], ["b"]], "o_orderkey", [Q.at_least("o_totalprice", 1500)])
+    return judged.select("o_orderkey", "reason")
+
+
+def batch_replace_unique(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers that each take over a key of the next one, a thousand in a chain, behind those that may not change.
+
+    Every third wants the second key of the next one, which gives it up, the others the first. Numbers of parts
+    beyond the customers are unknown ids.
+    """
+    number = F.col("c_custkey")
+    stored = read(spark, sf, "customer").select(
+        number.alias("id"), (number * 2).alias("a"), (-number).alias("b"), "c_acctbal"
+    )
+    free, last = F.col("id") + 1_000_000_000, F.col("id") % 1000 == 0
+    third = F.col("id") % 3 == 0
+    batch = stored.select(
+        "id", F.when(third | last, free).otherwise(F.col("id") * 2 + 2).alias("a"),
+        F.when(third & ~last, -F.col("id") - 1).when(F.col("id") % 3 == 1, -free).otherwise(F.col("b")).alias("b"), "c_acctbal",
+    )
+    parts = read(spark, sf, "part").select(F.col("p_partkey").alias("id"))
+    unknown = parts.join(stored, "id", "left_anti").select("id", F.lit("not found").alias(REASON))
+    judged = judge_replacements(batch, stored, [["a"], ["b"]], "id", [Q.at_least("c_acctbal", -980)])
+    accepted, rejected = split(judged)
+    return accepted.select("id", F.lit(None).cast("string").alias(REASON)).unionByName(rejected.select("id", REASON)).unionByName(unknown)
+
+
 def batch_replace(spark: SparkSession, sf: str) -> DataFrame:
     """Customers replaced whole by the parts of the same number."""
     table = read(spark, sf, "customer").withColumn("loaded_at", F.lit("before"))
@@ -226,7 +261,9 @@ QUERIES = {
     "delete_cascade": delete_cascade,
     "key_update_cascade": key_update_cascade,
     "batch_create_split": batch_create_split,
+    "batch_create_two_keys": batch_create_two_keys,
     "batch_replace": batch_replace,
+    "batch_replace_unique": batch_replace_unique,
     "orphan_check": orphan_check,
     "foreign_key_orphans": foreign_key_orphans,
     "range_violations": range_violations,
@@ -272,11 +309,11 @@ ORACLES = {
     """,
     "star_load_fact": """
         WITH yearly AS (
-            SELECT o_orderstatus, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n,
+            SELECT o_orderstatus = 'F' AS finished, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n,
                    CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) / 100 AS total
             FROM orders GROUP BY ALL
-        ), stored AS (SELECT * FROM yearly WHERE o_orderstatus = 'F'),
-        incoming AS (SELECT * FROM yearly WHERE o_orderstatus = 'O')
+        ), stored AS (SELECT * FROM yearly WHERE finished),
+        incoming AS (SELECT * FROM yearly WHERE NOT finished)
         SELECT coalesce(s.o_custkey, i.o_custkey) AS country_id, coalesce(s.y, i.y) AS indicator_year,
                coalesce(i.n, s.n) AS population, coalesce(i.total, s.total) AS gdp_usd,
                CASE WHEN i.n IS NOT NULL THEN 'loaded' ELSE 'stored' END AS loaded_at,
@@ -321,6 +358,38 @@ ORACLES = {
                    CASE WHEN f.first_id IS NULL THEN 'conflict on user_id, event_type' END) AS reason
         FROM referred r LEFT JOIN firsts f ON f.first_id = r.event_id
     """,
+    # In a chain neighbours share a key by turns, so of a run without gaps every second row is taken.
+    "batch_create_two_keys": """
+        WITH rows AS (
+            SELECT o_orderkey AS k, o_orderkey % 5000 = 17 AS stored, o_totalprice < 1500 AS cheap, o_orderkey // 1000 AS g FROM orders
+        ), near AS (
+            SELECT r.k, r.g, r.cheap, p.k IS NOT NULL AS before, n.k IS NOT NULL AS behind FROM rows r
+            LEFT JOIN (SELECT k + 1 AS k, g FROM rows WHERE stored) p USING (k, g)
+            LEFT JOIN (SELECT k - 1 AS k, g FROM rows WHERE stored) n USING (k, g) WHERE NOT r.stored
+        ), open AS (
+            SELECT *, k - row_number() OVER (PARTITION BY g ORDER BY k) AS run FROM near WHERE NOT (cheap OR before OR behind)
+        ), settled AS (
+            SELECT k, (k - min(k) OVER (PARTITION BY g, run)) % 2 = 0 AS taken FROM open
+        )
+        SELECT n.k AS o_orderkey, CASE
+                 WHEN cheap THEN 'o_totalprice below 1500'
+                 WHEN taken THEN NULL
+                 WHEN k % 2 = 1 AND (before OR taken IS NOT NULL OR p.t) THEN 'conflict on a'
+                 WHEN k % 2 = 0 AND behind THEN 'conflict on a'
+                 ELSE 'conflict on b' END AS reason
+        FROM near n LEFT JOIN settled USING (k) LEFT JOIN (SELECT k + 1 AS k, taken AS t, (k + 1) // 1000 AS g FROM settled) p USING (k, g)
+    """,
+    "batch_replace_unique": """
+        WITH judged AS (
+            SELECT c_custkey AS id, c_acctbal < -980 AS broken,
+                   bool_or(c_acctbal < -980) OVER (PARTITION BY (c_custkey + 999) // 1000 ORDER BY c_custkey DESC) AS reached
+            FROM customer
+        )
+        SELECT id, CASE WHEN broken THEN 'c_acctbal below -980' WHEN NOT reached THEN NULL
+                        WHEN id % 3 = 0 THEN 'conflict on b' ELSE 'conflict on a' END AS reason
+        FROM judged
+        UNION ALL SELECT p_partkey, 'not found' FROM part WHERE p_partkey NOT IN (SELECT c_custkey FROM customer)
+    """,
     "batch_replace": """
         SELECT c_custkey, coalesce(p_name, c_name) AS c_name, coalesce(p_size, c_nationkey) AS c_nationkey,
                coalesce(p_retailprice, c_acctbal) AS c_acctbal, coalesce(p_type, c_mktsegment) AS c_mktsegment,

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from goldspine.operators import access, quality as Q
 from goldspine.operators.aggregates import duplicate_count, group_counts, key_summary, rows_per_source
-from goldspine.operators.crud import ForeignKey, create_rows, replace_rows, split
+from goldspine.operators.components import components
+from goldspine.operators.crud import judge_replacements, ForeignKey, create_rows, replace_rows, split
 from goldspine.operators.dedupe import (
     DuplicateKeys, assert_unique, duplicate_keys, first_per_key, highest_per_key, keep_last, latest_per_key,
 )
@@ -229,6 +230,107 @@ def test_batch_create_equals_one_after_another(spark, unique):
     assert rejected.count() == len(batch) - accepted.count()
 
 
+@pytest.mark.parametrize("most", [10_000, 5])
+def test_batch_create_on_long_chains(spark, most, monkeypatch):
+    """Rows that block each other one after the other, 300 in a chain, and one key that a third of all rows have."""
+    from goldspine.operators import crud
+
+    monkeypatch.setattr(crud._settle_in_order, "__defaults__", (most,))
+    batch = [{"n": 1000 * g + k, "a": 1000 * g + k // 2, "b": 1000 * g + (k + 1) // 2} for g in range(2) for k in range(300 if most > 5 else 12)]
+    batch += [{"n": 5000 + k, "a": -1, "b": 5000 + k % 50} for k in range(300)]
+    random.Random(1).shuffle(batch)
+    stored = [{"a": 1003, "b": -9}]
+    judged = create_rows(
+        spark.createDataFrame([(r["n"], r["a"], r["b"]) for r in batch], "n int, a int, b int").repartition(4),
+        spark.createDataFrame([(r["a"], r["b"]) for r in stored], "a int, b int"), [["a"], ["b"]], "n",
+    )
+    found = {r.n: r.reason for r in judged.collect()}
+    assert sorted(n for n, reason in found.items() if reason is None) == sequential(batch, stored, [["a"], ["b"]])
+    assert (found[1], found[1006], found[5001], found[2]) == ("conflict on a", "conflict on a", "conflict on a", None)
+
+
+def replaced_one_after_another(batch, stored, unique):
+    """Ids of the replacements that stand, by refusing rows until no stored key is in the way."""
+    staying = [r for r in stored if r["id"] not in {b["id"] for b in batch}]
+    alive = [b for b in batch if b["id"] in sequential([{**b, "n": b["id"]} for b in batch], staying, unique)]
+    while True:
+        ids = {b["id"] for b in alive}
+        held = [{tuple(r[k] for k in keys) for r in stored if r["id"] not in ids} for keys in unique]
+        after = [b for b in alive if not any(tuple(b[k] for k in keys) in h for keys, h in zip(unique, held) if None not in [b[k] for k in keys])]
+        if len(after) == len(alive):
+            return sorted(ids)
+        alive = after
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_replacements_equal_one_after_another(spark, seed):
+    draw = random.Random(seed)
+    stored = [{"id": i, "a": i, "b": 100 + i} for i in range(60)]
+    batch = [{"id": i, "a": draw.choice([draw.randrange(70), i, None]), "b": draw.choice([100 + draw.randrange(70), 100 + i])} for i in draw.sample(range(60), 45)]
+    frame = lambda rows: spark.createDataFrame([(r["id"], r["a"], r["b"]) for r in rows], "id int, a int, b int")
+    unique = [["a"], ["b"]]
+    judged = judge_replacements(frame(batch), frame(stored), unique, "id")
+    accepted, _ = split(judged)
+    assert judged.count() == len(batch)
+    assert sorted(r.id for r in accepted.collect()) == replaced_one_after_another(batch, stored, unique)
+
+
+def test_replacements_follow_chains_in_few_rounds(spark, monkeypatch):
+    """A thousand rows that each want what the next one holds, behind one that may not change; a ring that may."""
+    from goldspine.operators import crud
+
+    staged = []
+    monkeypatch.setattr(crud, "stage", lambda df, label, do=crud.stage: staged.append(label) or do(df, label))
+    stored = spark.range(1, 2001).select("id", F.col("id").alias("a"), (-F.col("id")).alias("b"))
+    to = F.when(F.col("id") % 1000 == 0, F.col("id") - 999).otherwise(F.col("id") + 1)
+    batch = stored.select("id", to.alias("a"), F.when(F.col("id") % 2 == 0, -to).otherwise(F.col("b")).alias("b"))
+    batch = batch.withColumn("b", F.when(F.col("id") % 2 == 0, F.col("id") + 10_000).otherwise(F.col("b")))
+    judged = judge_replacements(batch, stored, [["a"], ["b"]], "id", [Q.Rule("may not change", F.col("id") == 1000)])
+    reasons = {r.id: r.reason for r in judged.collect()}
+    assert reasons[1000] == "may not change"
+    assert {reasons[i] for i in range(1, 1000)} == {"conflict on a"} and {reasons[i] for i in range(1001, 2001)} == {None}
+    assert staged.count("pointers") <= 12
+
+
+def test_pointers_that_multiply(spark):
+    """Two pointers for each row, many ways from one to the other: doubling is given up, the result is that of a search."""
+    from goldspine.operators.crud import _reached
+
+    draw = random.Random(9)
+    to = {i: [draw.randrange(i + 1, min(60, i + 9)) for _ in range(2)] for i in range(59)}
+    gone, reached = {50, 17}, set()
+    for i in range(58, -1, -1):
+        if any(t in gone or t in reached for t in to[i]):
+            reached.add(i)
+    pointers = spark.createDataFrame(sorted({(i, t) for i, ts in to.items() for t in ts}), "row int, to int")
+    found = [r.row for r in _reached(pointers, spark.createDataFrame([(g,) for g in gone], "row int")).collect()]
+    assert len(found) == len(set(found)) and set(found) - gone == reached - gone
+
+
+@pytest.mark.parametrize("piece", [1 << 21, 100])
+def test_components(spark, piece, monkeypatch):
+    import goldspine.operators.components as module
+
+    monkeypatch.setattr(module, "PIECE_LINKS", piece)
+    draw = random.Random(4)
+    links = [(draw.randrange(400), draw.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(500)] + [(9, 9)]
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    found = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(7)).collect()}
+    assert found == {x: root(x) for x in parent}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_a_rejected_row_frees_its_other_keys(spark):
     batch = spark.createDataFrame([(1, "A", "X"), (2, "B", "X"), (3, "B", "Z")], "n int, a string, b string")
     judged = create_rows(batch, batch.select("a", "b").limit(0), [["a"], ["b"]], "n")
