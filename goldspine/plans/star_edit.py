@@ -8,19 +8,14 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from goldspine import schema as S
 from goldspine.operators.crud import REASON, ForeignKey, create_rows, judge_replacements, replace_rows, split
+from goldspine.operators.joins import lookup
 from goldspine.operators.quality import country_rules, indicator_rules, region_rules, subregion_rules
 from goldspine.operators.referential import cascade_delete, delete_rows, set_null
 from goldspine.operators.upsert import assign_ids
-from goldspine.plans.star_store import StarStore
+from goldspine.plans.star_store import IDS, StarStore
 from goldspine.sinks.staging import stage
 
-# Keys and constraints of the published tables.
-IDS = {
-    "region": "region_id",
-    "subregion": "subregion_id",
-    "country": "country_id",
-    "country_indicator": "country_indicator_id",
-}
+# Constraints of the published tables.
 UNIQUE = {
     "region": [["region_name"]],
     "subregion": [["region_id", "subregion_name"]],
@@ -66,7 +61,7 @@ def _foreign_keys(store: StarStore, table: str) -> list[ForeignKey]:
 
 
 def create(store: StarStore, table: str, batch: DataFrame, ordinal: str) -> Edit:
-    """Insert the sound rows of ``batch`` (without ids), judged in ``ordinal`` order."""
+    """Insert the sound rows of ``batch`` (without ids), judged in ``ordinal`` order. Only these are written."""
     existing = store.table(table)
     prepared = _prepare(batch, table, [ordinal]).drop(IDS[table])
     judged = stage(
@@ -75,14 +70,15 @@ def create(store: StarStore, table: str, batch: DataFrame, ordinal: str) -> Edit
     accepted, rejected = split(judged)
     start = existing.agg(F.max(IDS[table])).first()[0] or 0
     numbered = assign_ids(accepted.drop(ordinal), IDS[table], start).select(*existing.columns)
-    store.publish({table: existing.unionByName(numbered)})
+    numbered = stage(numbered, "created")
+    store.publish({table: numbered}, {table: ()})
     return Edit(numbered, rejected)
 
 
 def replace(store: StarStore, table: str, batch: DataFrame) -> Edit:
     """Replace whole rows by id, as one batch.
 
-    Rows with an unknown or repeated id are rejected first, then those that
+    Only the buckets of replaced rows are written anew. Rows with an unknown or repeated id are rejected first, then those that
     break a rule or a reference. The others are judged in the order of their
     ids against every stored row that keeps its values, which includes the
     stored rows of rejected ones.
@@ -103,8 +99,9 @@ def replace(store: StarStore, table: str, batch: DataFrame) -> Edit:
     judged = judge_replacements(known, existing, UNIQUE[table], id_column, RULES[table](), _foreign_keys(store, table))
     accepted, rejected = split(judged)
     refresh = {"loaded_at": F.current_timestamp()} if "loaded_at" in existing.columns else {}
-    after, _ = replace_rows(existing, accepted, id_column, refresh)
-    store.publish({table: after})
+    touched = store.touched(table, accepted)
+    after, _ = replace_rows(store.table(table, buckets=touched), accepted, id_column, refresh)
+    store.publish({table: after}, {table: touched})
     return Edit(accepted, rejected.unionByName(unsound))
 
 
@@ -120,13 +117,16 @@ def delete(store: StarStore, table: str, ids: DataFrame) -> Edit:
     restricting = store.table("subregion") if table == "region" else None
     outcome = delete_rows(existing, ids, id_column, restricting, id_column)
     deleted = stage(outcome.deleted, "deleted")
-    changed = {table: existing.join(deleted, id_column, "left_anti")}
-    if table in ("region", "subregion"):
-        changed["country"] = set_null(store.table("country"), deleted, id_column, id_column)
-    if table == "country":
-        changed["country_indicator"] = cascade_delete(store.table("country_indicator"), deleted, id_column, id_column)
+    touched = {table: store.touched(table, deleted)}
+    changed = {table: store.table(table, buckets=touched[table]).join(deleted, id_column, "left_anti")}
+    # Of a table of children only the buckets that hold one are written anew.
+    children = "country" if table in ("region", "subregion") else "country_indicator" if table == "country" else None
+    if children:
+        touched[children] = store.touched(children, lookup(store.table(children), deleted, [id_column], "left_semi"))
+        follow = cascade_delete if table == "country" else set_null
+        changed[children] = follow(store.table(children, buckets=touched[children]), deleted, id_column, id_column)
     rejected = outcome.blocked.withColumn(REASON, F.lit("still referenced")).unionByName(
         outcome.missing.withColumn(REASON, F.lit("not found"))
     )
-    store.publish(changed)
+    store.publish(changed, touched)
     return Edit(deleted, rejected)

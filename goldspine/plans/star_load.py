@@ -13,7 +13,8 @@ from goldspine.functions.text import is_code
 from goldspine.operators.aggregates import duplicate_count
 from goldspine.operators.quality import country_rules, indicator_rules, violations
 from goldspine.operators.upsert import CHANGE, assign_ids, new_keys, resolve_ids, upsert
-from goldspine.plans.star_store import StarStore, timestamp_literal
+from goldspine.plans.star_store import IDS, StarStore, timestamp_literal
+from goldspine.sinks.staging import stage
 from goldspine.sources.files import combined_fingerprint, fingerprints
 from goldspine.sources.manifest import newest_output
 
@@ -64,11 +65,16 @@ def subregion_names(golden: DataFrame) -> DataFrame:
     return rows.select(F.col("region").alias("region_name"), F.col("subregion").alias("subregion_name")).distinct()
 
 
-def extend_dimension(existing: DataFrame, wanted: DataFrame, keys: list[str], id_column: str, now: Column) -> DataFrame:
-    """``existing`` plus the natural keys it lacks; ids of known keys never change."""
+def new_members(existing: DataFrame, wanted: DataFrame, keys: list[str], id_column: str, now: Column) -> DataFrame:
+    """Rows for the natural keys that ``existing`` lacks, with the next ids."""
     start = existing.agg(F.max(id_column)).first()[0] or 0
     added = assign_ids(new_keys(wanted, existing, keys), id_column, start)
-    return existing.unionByName(added.withColumn("created_at", now).select(*existing.columns))
+    return added.withColumn("created_at", now).select(*existing.columns)
+
+
+def extend_dimension(existing: DataFrame, wanted: DataFrame, keys: list[str], id_column: str, now: Column) -> DataFrame:
+    """``existing`` plus the natural keys it lacks; ids of known keys never change."""
+    return existing.unionByName(new_members(existing, wanted, keys, id_column, now))
 
 
 def country_rows(golden: DataFrame, region: DataFrame, subregion: DataFrame) -> DataFrame:
@@ -130,34 +136,33 @@ def load(spark: SparkSession, store: StarStore, source: str, year: int = DEFAULT
     try:
         base, versions = store.head()
 
-        def write(name: str, df: DataFrame) -> DataFrame:
-            versions[name] = store.write_version(name, df, load_id)
+        def write(name: str, df: DataFrame, replaces: set[int]) -> DataFrame:
+            versions[name] = store.write_version(name, df, load_id, versions, replaces)
             return store.table(name, versions)
 
-        region = write(
-            "region",
-            extend_dimension(store.table("region", versions), region_names(golden), ["region_name"], "region_id", now),
-        )
+        region = write("region", new_members(store.table("region", versions), region_names(golden), ["region_name"], "region_id", now), set())
         named = resolve_ids(subregion_names(golden), region, ["region_name"], "region_id")
         subregion = write(
             "subregion",
-            extend_dimension(
+            new_members(
                 store.table("subregion", versions), named.select("region_id", "subregion_name"),
                 ["region_id", "subregion_name"], "subregion_id", now,
-            ),
-        )
-        merged, last_country = upsert_with_ids(
-            store.table("country", versions), country_rows(golden, region, subregion), ["iso3"], "country_id", now
+            ), set(),
         )
-        country = write("country", merged)
+
+        def merge(name: str, rows: DataFrame, keys: list[str]) -> tuple[DataFrame, int]:
+            """Rows that meet a stored one take the place of its bucket; new ones are added to it, or to none."""
+            stored, rows = store.table(name, versions), stage(rows, f"{name}-rows")
+            touched = store.touched(name, stored.join(rows.select(*keys), keys, "left_semi"))
+            merged, last = upsert_with_ids(stored, rows, keys, IDS[name], now)
+            fresh = F.col(IDS[name]) > last
+            return write(name, merged.where(fresh | store.bucket(name).isin(touched)), touched), last
+
+        country, last_country = merge("country", country_rows(golden, region, subregion), ["iso3"])
         _require_none(country, country_rules(), "country")
         if country.agg(duplicate_count("iso2")).first()[0]:
             raise InvalidLoad("country: an ISO2 code belongs to two countries")
-        facts, _ = upsert_with_ids(
-            store.table("country_indicator", versions), indicator_rows(golden, country, year),
-            ["country_id", "indicator_year"], "country_indicator_id", now,
-        )
-        indicator = write("country_indicator", facts)
+        indicator, _ = merge("country_indicator", indicator_rows(golden, country, year), ["country_id", "indicator_year"])
         _require_none(indicator, indicator_rules(), "country_indicator")
         counters = _counters(country, indicator, now, last_country)
         store.commit(row, base, versions, **counters)
