@@ -2,40 +2,94 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from goldspine.sinks.staging import stage
 
-# Bits of ``monotonically_increasing_id`` that count within a task.
-_ROW_BITS = 33
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+_TASK, _PLACE, _LOCAL, _FIRST = "_rank_task", "_rank_place", "_rank_local", "_rank_first"
+
+
+def _changed(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before it: two nulls are equal, and two NaN."""
+    one, other = column.slice(0, len(column) - 1), column.slice(1)
+    same = pc.or_(pc.fill_null(pc.equal(one, other), False), pc.and_(pc.is_null(one), pc.is_null(other)))
+    if pa.types.is_floating(column.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(one), pc.is_nan(other)), False))
+    return ~same.to_numpy(zero_copy_only=False)
+
+
+def _numbered(group: str, measure: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted rows with their place in the task, the number of their value among those of the group, and whether the group is the first."""
+        last, held, place, groups = None, 0, 0, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            keys = [batch.column(group), batch.column(measure)]
+            if last is None:
+                new_group, new_value = (np.concatenate([[True], _changed(c)]) for c in keys)
+            else:
+                new_group, new_value = (_changed(pa.concat_arrays([p, c])) for p, c in zip(last, keys))
+            new_value = new_value | new_group
+            # Values so far, less those before the row's group.
+            values = held + np.cumsum(new_value)
+            before = np.maximum.accumulate(np.where(new_group, values - 1, 0))
+            nth_group = groups + np.cumsum(new_group)
+            columns = [place + np.arange(n), values - before, nth_group == 1]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, columns)], names=[*batch.schema.names, _PLACE, _LOCAL, _FIRST])
+            last, held = [c.slice(n - 1) for c in keys], int(values[-1] - before[-1])
+            place, groups = place + n, int(nth_group[-1])
+
+    return run
 
 
 def dense_rank_within(df: DataFrame, group: str, measure: str, rank: str) -> DataFrame:
-    """Add ``rank``: 1 for the highest ``measure`` of the row's group, no gaps.
+    """Add ``rank``: 1 for the highest ``measure`` of the row's group, no gaps; a null measure is the highest.
 
-    The distinct measures are sorted globally and written with the number of
-    their task and their place in it. A rank is that place plus what earlier
-    tasks hold of the group, so no group meets in one task, whatever its size.
+    Rows are dealt to tasks by ranges of (group, measure), once, and equal ones
+    by chance, so neither a group nor a value meets in one task. A task numbers
+    the values of each of its groups. Its first group may have begun in earlier
+    tasks; then what these hold of it is added, less one for a value that goes on.
+    For that a row comes from each task.
     """
-    values = df.select(F.col(group).alias("_g"), F.col(measure).alias("_m")).distinct()
-    ordered = values.orderBy(F.col("_g"), F.col("_m").desc_nulls_first()).select(
-        "_g", "_m", F.spark_partition_id().alias("_task"),
-        F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1).alias("_row"),
+    highest = F.col(measure).desc_nulls_first()
+    dealt = df.withColumn("_rank_chance", F.rand(1)).repartitionByRange(F.col(group), highest, "_rank_chance").drop("_rank_chance")
+    sorted_rows = dealt.sortWithinPartitions(F.col(group), highest).withColumn(_TASK, F.spark_partition_id())
+    layout = T.StructType([*sorted_rows.schema, T.StructField(_PLACE, T.LongType()), T.StructField(_LOCAL, T.LongType()), T.StructField(_FIRST, T.BooleanType())])
+    placed = stage(sorted_rows.mapInArrow(_numbered(group, measure), layout), "ranks")
+    ends = placed.select(_TASK, _PLACE, _LOCAL, F.struct(F.col(group).alias("g"), F.col(measure).alias("m")).alias("_v")).groupBy(_TASK).agg(
+        F.min_by("_v", _PLACE).alias("first"), F.max_by("_v", _PLACE).alias("last"), F.max_by(_LOCAL, _PLACE).alias("n")
     )
-    placed = stage(ordered, "ranks")
-    spans = placed.groupBy("_g", "_task").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
-    # A group has one span per task of the sort, so this window holds at most as many rows.
-    earlier = Window.partitionBy("_g").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.select("_g", "_task", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = (
-        placed.alias("p")
-        .join(spans.alias("s"), F.col("p._g").eqNullSafe(F.col("s._g")) & (F.col("p._task") == F.col("s._task")))
-        .select("p._g", "p._m", (F.col("_row") - F.col("_first") + F.col("_before") + 1).cast("bigint").alias("_rank"))
-    )
-    same = F.col(f"d.`{group}`").eqNullSafe(F.col("r._g")) & F.col(f"d.`{measure}`").eqNullSafe(F.col("r._m"))
-    return df.alias("d").join(ranked.alias("r"), same).select("d.*", F.col("r._rank").alias(rank))
+    in_order = Window.orderBy(_TASK)
+    before = F.lag("last").over(in_order)
+    borders = ends.select(
+        _TASK, "n", F.col("first.g").eqNullSafe(F.col("last.g")).alias("one_group"),
+        (F.col("n").isNotNull() & before.isNotNull() & F.col("first.g").eqNullSafe(before["g"])).alias("goes_on"),
+        F.col("first.m").eqNullSafe(before["m"]).alias("same_value"),
+    ).orderBy(_TASK).collect()
+    offsets, held = [], 0
+    for task in borders:
+        offset = held - int(task.same_value) if task.goes_on else 0
+        if offset:
+            offsets.append((task[_TASK], offset))
+        held = task.n + (offset if task.one_group else 0)
+    number = F.col(_LOCAL)
+    if offsets:
+        more = df.sparkSession.createDataFrame(offsets, f"{_TASK} int, _rank_more long")
+        # A row for each task that goes on with a group.
+        placed = placed.join(F.broadcast(more), _TASK, "left")
+        number = number + F.when(F.col(_FIRST), F.coalesce("_rank_more", F.lit(0))).otherwise(0)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], number.cast("bigint").alias(rank))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -126,6 +126,23 @@ def test_rank_over_many_tasks(spark):
     assert set(found) == set(plain.distinct().collect())
 
 
+def test_one_value_of_half_the_rows_is_ranked_in_many_tasks(spark):
+    """The rows of one (group, measure) are in several tasks; the frame is shuffled once."""
+    df = spark.range(6000).select("id", F.lit("g").alias("g"), F.when(F.col("id") % 2 == 0, 7.0).otherwise(F.col("id") % 11).cast("double").alias("m"))
+    df = stage(df.withColumn("m", F.when(F.col("id") % 10 == 1, F.lit(float("nan"))).otherwise(F.col("m"))), "r")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = dense_rank_within(df, "g", "m", "rank")
+        assert "Exchange hashpartitioning" not in plan(ranked) and "Exchange rangepartitioning" not in plan(ranked)
+        found = ranked.collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    from pyspark.sql import Window
+
+    plain = {r.id: r.rank for r in df.withColumn("rank", F.dense_rank().over(Window.partitionBy("g").orderBy(F.desc("m")))).collect()}
+    assert {r.id: r.rank for r in found} == plain
+
+
 def test_top_k_by_measure(spark):
     draw = random.Random(9)
     values = [draw.choice([-1, 1]) * 10 ** draw.uniform(-8, 8) for _ in range(3000)]
