@@ -11,7 +11,7 @@ from goldspine.functions.text import is_blank, is_code
 from goldspine.operators.aggregates import duplicate_count
 from goldspine.operators.ranking import top_k_by_measure
 from goldspine.sinks.documents import slug, write_table
-from goldspine.sources.files import read_csv, read_parquet
+from goldspine.sources.files import read_csv, read_parquet, write_raw
 from goldspine.sources.html import require_records, scraped_records
 from goldspine.sources.manifest import run_sources
 from goldspine.sources.pages import extract_records
@@ -69,6 +69,7 @@ def _write(spark: SparkSession, df: DataFrame, root: str, output: str, file_form
 def file_job(spark: SparkSession, path: str, root: str, raw: str = "data/raw") -> Callable[[], tuple[str, int]]:
     def job():
         df = validate_code_file(read_csv(spark, path, S.CODE_FILE))
+        write_raw(spark, path, f"{root}/{raw}/copies/file_{slug()}")
         return _write(spark, df, root, f"{raw}/file/countries_iso_{slug()}", "csv")
 
     return job
@@ -102,6 +103,8 @@ def api_job(spark: SparkSession, captured: DataFrame, payload: str, offset: str,
 def scraping_job(spark: SparkSession, pages: DataFrame, html: str, url: str, root: str, raw: str = "data/raw", table_id: str | None = None) -> Callable[[], tuple[str, int]]:
     def job():
         df = require_records(scraped_records(pages, html, url, table_id))
+        # The pages as they came.
+        pages.select(url, html).write.parquet(f"{root}/{raw}/copies/scraping_{slug()}")
         return _write(spark, df, root, f"{raw}/scraping/countries_scraping_{slug()}", "json")
 
     return job

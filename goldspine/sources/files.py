@@ -7,19 +7,21 @@ import re
 import sys
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from goldspine import schema as S
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ORDINAL = "_ordinal"
-# Larger files are hashed as a stream instead of being held in one row.
-MAX_INLINE_BYTES = 64 * 1024 * 1024
-CHUNK_BYTES = 1024 * 1024
+# A longer line goes to a task in pieces of so many bytes.
+PIECE_BYTES = 16 * 1024
+# Endings of names that make readers of lines decompress a file, and the mark of UTF-8 they drop.
+CODEC_ENDINGS = r"\.(gz|bz2|deflate|lz4|snappy|zst|passthrough)$"
+_MARK = b"\xef\xbb\xbf"
 
 
 def with_ordinal(df: DataFrame) -> DataFrame:
@@ -109,35 +111,69 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         raise
 
 
-def fingerprints(spark: SparkSession, path: str | Sequence[str], max_inline: int = MAX_INLINE_BYTES) -> DataFrame:
-    """(path, length, sha256) of every file; the work is spread over files.
+def raw_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(path, length, block, position, line): the bytes of every file between line feeds, in order by block and position.
 
-    Both size filters reach the source, so a file's bytes are read once, either
-    into one row (small) or as a stream of 1 MiB chunks in a task (large).
+    Spark's own reader splits files of any size over tasks, in any store it can
+    read, and takes any bytes for a line. Files with a name of a compression
+    codec, which it would decompress, come as one row with all their bytes and
+    a null position; these may have up to 2 GiB. Empty files are left out.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    files = reader.load([path] if isinstance(path, str) else list(path))
-    small = files.where(F.col("length") <= max_inline).select("path", "length", F.sha2("content", 256).alias("sha256"))
-    listed = files.where(F.col("length") > max_inline).select("path", "length")
-    result = T.StructType([*listed.schema.fields, T.StructField("sha256", T.StringType())])
-    return small.unionAll(listed.mapInPandas(_hash_streams, result))
-
-
-def _hash_streams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    def digest(uri: str) -> str:
-        if uri.startswith("file:/") and not uri.startswith("file://"):
-            uri = "file://" + uri[len("file:"):]
-        system, path = fs.FileSystem.from_uri(uri)
-        state = hashlib.sha256()
-        with system.open_input_stream(path) as stream:
-            while chunk := stream.read(CHUNK_BYTES):
-                state.update(chunk)
-        return state.hexdigest()
+    paths = [path] if isinstance(path, str) else list(path)
+    reader = spark.read.option("recursiveFileLookup", True)
+    meta = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("length"), F.col("_metadata.file_block_start").alias("block")
+    # A filter of the path alone is one of the listing, and the files it leaves out are not opened.
+    plain = reader.option("lineSep", "\n").text(paths).where(~F.col("_metadata.file_path").rlike(CODEC_ENDINGS))
+    lines = plain.select(*meta, F.monotonically_increasing_id().alias("position"), F.col("value").cast("binary").alias("line"))
+    whole = reader.format("binaryFile").load(paths).where(F.col("path").rlike(CODEC_ENDINGS)).select(
+        "path", "length", F.lit(0).cast("bigint").alias("block"), F.lit(None).cast("bigint").alias("position"), F.col("content").alias("line")
+    )
+    return lines.unionAll(whole)
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each file from its lines, which come in order. Whether the last line had an end, and the first
+    a mark before it, follows from the length of the file."""
+    name, length, states, seen = None, 0, [], 0
+
+    def done() -> pa.RecordBatch:
+        rest = length - seen
+        state = states[1] if rest >= len(_MARK) else states[0]
+        if rest in (1, 1 + len(_MARK)):
+            state.update(b"\n")
+        elif rest not in (0, len(_MARK)):
+            raise ValueError(f"{name}: {seen} bytes read of {length}")
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([length], pa.int64()), pa.array([state.hexdigest()])], names=["path", "length", "sha256"])
 
     for batch in batches:
-        yield batch.assign(sha256=[digest(uri) for uri in batch["path"]])
+        columns = (batch.column(c).to_pylist() for c in ("path", "length", "position", "piece", "line"))
+        for path, size, position, piece, line in zip(*columns):
+            if path != name:
+                if name is not None:
+                    yield done()
+                name, length, states, seen = path, size, [hashlib.sha256(), hashlib.sha256(_MARK)], 0
+            elif position is not None and piece == 0:
+                line = b"\n" + line
+            seen += len(line)
+            for state in states:
+                state.update(line)
+    if name is not None:
+        yield done()
+
+
+def fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(path, length, sha256) of every file, whatever its size and store.
+
+    A hash goes over a file from its beginning to its end, so the lines of a
+    file meet, sorted, in one task, which holds a batch of them at a time.
+    """
+    n = F.octet_length("line")
+    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(PIECE_BYTES))
+    pieces = raw_lines(spark, path).select(
+        "path", "length", "block", "position", F.posexplode(F.transform(starts, lambda s: F.substring(F.col("line"), s + 1, F.lit(PIECE_BYTES)))).alias("piece", "line")
+    )
+    ordered = pieces.repartition("path").sortWithinPartitions("path", "block", "position", "piece")
+    return ordered.select("path", "length", "position", "piece", "line").mapInArrow(_fold, "path string, length bigint, sha256 string")
 
 
 def plain_path(path: str) -> str:
@@ -171,7 +207,27 @@ def combined_fingerprint(outputs: str | Sequence[str]) -> list:
     ]
 
 
-def raw_snapshot(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(path, content, sha256): byte-identical copies to keep beside parsed output."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "length", "content", F.sha2("content", 256).alias("sha256"))
+def write_raw(spark: SparkSession, path: str | Sequence[str], folder: str) -> str:
+    """Keep byte-identical copies beside parsed output, as rows of ``raw_lines`` for files of any size."""
+    raw_lines(spark, path).write.option("compression", "zstd").parquet(folder)
+    return folder
+
+
+def stored_bytes(copies: DataFrame) -> DataFrame:
+    """(path, length, block, position, chunk) of copies kept by ``write_raw``: chunks in order make up the file.
+
+    How a file ended, and whether a mark stood at its beginning, follows from
+    its length and the lengths of its lines, which alone are read for that.
+    """
+    place = F.struct("block", "position")
+    files = copies.groupBy("path").agg(
+        (F.max("length") - F.sum(F.octet_length("line") + 1)).alias("_rest"), F.min(place).alias("_first"), F.max(place).alias("_last")
+    )
+    joined = copies.join(files, "path")
+    line, marked = F.col("line"), F.col("_rest") >= len(_MARK) - 1
+    ended = ~(F.col("_rest").isin(-1, len(_MARK) - 1) & (place == F.col("_last")))
+    first = marked & (place == F.col("_first"))
+    chunk = F.when(F.col("position").isNull(), line).otherwise(
+        F.concat(F.when(first, F.lit(_MARK)).otherwise(F.lit(b"")), line, F.when(ended, F.lit(b"\n")).otherwise(F.lit(b"")))
+    )
+    return joined.select("path", "length", "block", "position", chunk.alias("chunk"))

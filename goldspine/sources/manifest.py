@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.sinks.documents import slug, write_document
-from goldspine.sources.files import NoSuchFile, combined_fingerprint, fingerprints, list_files, plain_path
+from goldspine.sources.files import NoSuchFile, combined_fingerprint, fingerprints, list_files, name_within, plain_path
 
 
 class ManifestError(ValueError):
@@ -77,6 +77,10 @@ def run_sources(
             manifest["errors"].append({"source": source, "error": str(error)})
             if not continue_on_error:
                 break
+    # Beside the manifest, an entry for each file of the outputs.
+    if manifest["results"]:
+        outputs = {entry["source"]: f"{root}/{entry['output_file']}" for entry in manifest["results"]}
+        file_entries(spark, outputs).write.parquet(f"{root}/{raw}/files_{manifest['run_id']}")
     path = f"{root}/{raw}/manifest_{manifest['run_id']}.json"
     return write_document(spark, manifest, path)
 
@@ -156,6 +160,28 @@ def verify_entries(spark: SparkSession, entries: Mapping[str, tuple[str, int | N
     return joined.select("source", "files", "bytes", "sha256", problem.alias("problem"))
 
 
+def file_entries(spark: SparkSession, outputs: Mapping[str, str]) -> DataFrame:
+    """(source, file, bytes, sha256): an entry for each file of the outputs; ``file`` is its path below its output."""
+    rows = None
+    for source, output in outputs.items():
+        found = fingerprints(spark, output).select(
+            F.lit(source).alias("source"), name_within(output).alias("file"), F.col("length").alias("bytes"), "sha256"
+        )
+        rows = found if rows is None else rows.unionAll(found)
+    return rows
+
+
+def compare_entries(recorded: DataFrame, present: DataFrame) -> DataFrame:
+    """(source, file, state) of recorded and present entries: unchanged, changed, added or removed."""
+    old = recorded.select("source", "file", F.struct("bytes", "sha256").alias("_old"))
+    new = present.select("source", "file", F.struct("bytes", "sha256").alias("_new"))
+    state = (
+        F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed")
+        .when(F.col("_old") == F.col("_new"), "unchanged").otherwise("changed")
+    )
+    return old.join(new, ["source", "file"], "full_outer").select("source", "file", state.alias("state"))
+
+
 def _exists(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether every path exists; the reader checks that before any job."""
     try:

@@ -7,10 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from goldspine.functions.collections import SEPARATOR
 from goldspine.operators.aggregates import rows_per_source
 from goldspine.sinks.documents import lineage, write_table
-from goldspine.sinks.staging import staging_path
-from goldspine.sources.files import combined_fingerprint, fingerprints, raw_snapshot, read_csv, read_json, read_parquet
+from goldspine.sinks.staging import stage, staging_path
+from goldspine.sources.files import fingerprints, read_csv, read_json, read_parquet, stored_bytes, write_raw
 from goldspine.sources.html import clean_rows, raw_rows
-from goldspine.sources.manifest import verify_entries
+from goldspine.sources.manifest import compare_entries, file_entries
 from goldspine.sources.pages import explode_objects, normalize_records, parse_pages, protocol_summary
 from goldspine.suite.tables import NAMES, customers, day, read
 
@@ -147,15 +147,37 @@ def _files(sf: str) -> dict[str, str]:
 
 
 def manifest_verify(spark: SparkSession, sf: str) -> DataFrame:
-    """Record every table file, then verify the record against the files."""
-    paths = _files(sf)
-    name = F.regexp_extract("path", r"([^/]+)\.parquet", 1)
-    # One recorded entry per source file of the run.
-    recorded = fingerprints(spark, list(paths.values())).groupBy(name.alias("source")).agg(*combined_fingerprint(list(paths.values()))).collect()
-    entries = {r["source"]: (paths[r["source"]], r["bytes"], r["sha256"]) for r in recorded}
-    rows = rows_per_source({n: read(spark, sf, n) for n in NAMES})
-    checked = verify_entries(spark, entries)
-    return rows.join(checked, "source").select("source", "rows", "files", "problem")
+    """Customers by segment, recorded file by file; then one file changes, one goes and one comes."""
+    customers_out = staging_path(spark, "segments")
+    rows = read(spark, sf, "customer").withColumn("segment", F.col("c_mktsegment"))
+
+    def write(df: DataFrame, path: str) -> None:
+        df.repartition("segment").write.mode("append").partitionBy("segment").parquet(path)
+
+    write(rows, customers_out)
+    recorded = stage(file_entries(spark, {"customer": customers_out}), "recorded")
+    # Other bytes under the name of the old file.
+    other = staging_path(spark, "segments")
+    write(rows.where(F.col("segment") == "BUILDING").withColumn("c_acctbal", -F.col("c_acctbal")), other)
+    write(rows.where(F.col("segment") == "MACHINERY").withColumn("segment", F.lit("added")), customers_out)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(customers_out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    first = lambda folder: files.globStatus(hadoop.Path(f"{folder}/*.parquet"))[0].getPath()
+    old, new = first(f"{customers_out}/segment=BUILDING"), first(f"{other}/segment=BUILDING")
+    files.delete(old, False)
+    files.rename(new, old)
+    files.delete(hadoop.Path(f"{customers_out}/segment=HOUSEHOLD"), True)
+    states = compare_entries(recorded, file_entries(spark, {"customer": customers_out}))
+    return states.select("source", F.regexp_extract("file", "segment=([^/]+)/", 1).alias("segment"), "state")
+
+
+def text_hashes(spark: SparkSession, sf: str) -> DataFrame:
+    """The hash of files of known text: one for each segment, of its customers' names, a line for each."""
+    path = staging_path(spark, "text")
+    names = read(spark, sf, "customer").repartition("c_mktsegment").sortWithinPartitions("c_custkey")
+    names.select("c_mktsegment", F.concat("c_name", F.lit(" \u00e9"))).write.partitionBy("c_mktsegment").text(path)
+    found = fingerprints(spark, path)
+    return found.select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment"), F.col("length").alias("bytes"), "sha256")
 
 
 def file_lineage(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,12 +186,14 @@ def file_lineage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_copies(spark: SparkSession, sf: str) -> DataFrame:
-    path = staging_path(spark, "raw")
-    raw_snapshot(spark, list(_files(sf).values())).write.parquet(path)
-    kept = spark.read.parquet(path)
-    return kept.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length", (F.sha2("content", 256) == F.col("sha256")).alias("intact")
-    )
+    """Files of known text kept as raw copies: the bytes of the copies, chunk by chunk."""
+    path = staging_path(spark, "text")
+    orders = read(spark, sf, "orders")
+    lines = orders.select("o_orderpriority", F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", F.lit("\u00e9\r")).alias("line"))
+    lines.write.partitionBy("o_orderpriority").text(path)
+    copies = stored_bytes(spark.read.parquet(write_raw(spark, path, staging_path(spark, "raw"))))
+    folder = F.url_decode(F.regexp_extract("path", "o_orderpriority=([^/]+)/", 1))
+    return copies.select(folder.alias("priority"), F.col("chunk").cast("string").alias("chunk"))
 
 
 QUERIES = {
@@ -183,6 +207,7 @@ QUERIES = {
     "manifest_verify": manifest_verify,
     "file_lineage": file_lineage,
     "raw_copies": raw_copies,
+    "text_hashes": text_hashes,
 }
 
 ORACLES = {
@@ -223,9 +248,18 @@ ORACLES = {
     "sink_parquet": """
         SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_tax FROM lineitem
     """,
-    "manifest_verify": " UNION ALL ".join(
-        f"SELECT '{n}' AS source, count(*) AS rows, 1::BIGINT AS files, CAST(NULL AS VARCHAR) AS problem FROM {n}" for n in NAMES
-    ),
+    "manifest_verify": """
+        SELECT 'customer' AS source, segment, CASE segment WHEN 'BUILDING' THEN 'changed' WHEN 'HOUSEHOLD' THEN 'removed' ELSE 'unchanged' END AS state
+        FROM (SELECT DISTINCT c_mktsegment AS segment FROM customer) UNION ALL SELECT 'customer', 'added', 'added'
+    """,
+    "raw_copies": """
+        SELECT o_orderpriority AS priority, concat_ws('|', o_orderkey, o_custkey, o_orderstatus, '\u00e9' || chr(13)) || chr(10) AS chunk FROM orders
+    """,
+    "text_hashes": """
+        SELECT segment, strlen(t)::BIGINT AS bytes, sha256(t) AS sha256 FROM (
+            SELECT c_mktsegment AS segment, string_agg(c_name || ' \u00e9' || chr(10), '' ORDER BY c_custkey) AS t FROM customer GROUP BY c_mktsegment
+        )
+    """,
     "file_lineage": " UNION ALL ".join(
         f"SELECT '{n}' AS source, '{n}.parquet' AS file FROM {n} HAVING count(*) > 0" for n in NAMES
     ),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from goldspine import schema as S
 from goldspine.operators.dedupe import keep_last
 from goldspine.sinks.documents import lineage, slug, write_document, write_table
+from goldspine.sinks.staging import staging_path
 from goldspine.sources import files, html, pages, tables
 from goldspine.sources.manifest import ManifestError, manifest_outputs, newest_output, run_sources, run_tally
 from tests.countries import API_OBJECT, HTML
@@ -69,20 +70,46 @@ def test_newest_file(spark, tmp_path):
         files.newest_file(spark, str(folder), ["z*"])
 
 
-def test_fingerprints_inline_and_streamed(spark, tmp_path):
-    contents = {"a.bin": b"x" * 10, "b.bin": os.urandom(3_000_000)}
-    (tmp_path / "empty.bin").write_bytes(b"")
+def _awkward_files(folder):
+    contents = {
+        "a.bin": b"x" * 10, "b.bin": os.urandom(3_000_000), "c.txt": b"\n", "d.txt": b"\n\n", "e.txt": b"one\r\ntwo", "f.txt": b"one\ntwo\n",
+        "g.txt": b"\xef\xbb\xbfmarked", "h.txt": b"\xef\xbb\xbfmarked\n", "i.txt": b"\xef\xbb\xbf\xef\xbb\xbf\n\n", "j.bin": b"\0" * 100_000, "k.csv.gz": os.urandom(5000),
+        "l.txt": b"long " * 20_000 + b"\n" + b"last",
+    }
+    (folder / "empty.bin").write_bytes(b"")
     for name, data in contents.items():
-        (tmp_path / name).write_bytes(data)
-    for limit in (10**9, 100, 0):
-        found = {os.path.basename(r.path): (r.length, r.sha256) for r in files.fingerprints(spark, str(tmp_path), limit).collect()}
-        assert found == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
+        (folder / name).write_bytes(data)
+    return contents
+
+
+@pytest.mark.parametrize("split", ["128m", "100k"])
+def test_fingerprints_and_copies_of_any_bytes(spark, tmp_path, split):
+    """Files split over tasks, without an end of the last line, with a mark at the beginning, without any line."""
+    contents = _awkward_files(tmp_path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = {os.path.basename(r.path): (r.length, r.sha256) for r in files.fingerprints(spark, str(tmp_path)).collect()}
+        copies = spark.read.parquet(files.write_raw(spark, str(tmp_path), staging_path(spark, "raw")))
+        rows = files.stored_bytes(copies).orderBy("path", "block", "position").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in contents.items()}
+    kept = {}
+    for r in rows:
+        name = os.path.basename(r.path)
+        kept[name] = kept.get(name, b"") + bytes(r.chunk)
+    assert kept == contents
+    if split == "100k":
+        assert len({r.block for r in rows if r.path.endswith("b.bin")}) > 10
+
+
+def test_combined_fingerprint_follows_the_bytes(spark, tmp_path):
+    for name in ("a.bin", "b.bin"):
+        (tmp_path / name).write_bytes(b"x" * 10)
     whole = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint(str(tmp_path))).first()
     (tmp_path / "a.bin").write_bytes(b"y" * 10)
     changed = files.fingerprints(spark, str(tmp_path)).agg(*files.combined_fingerprint(str(tmp_path))).first()
     assert whole["bytes"] == changed["bytes"] and whole["sha256"] != changed["sha256"] and len(whole["sha256"]) == 64
-    kept = {os.path.basename(r.path): bytes(r.content) for r in files.raw_snapshot(spark, str(tmp_path)).collect()}
-    assert kept["b.bin"] == contents["b.bin"]
 
 
 def test_equal_files_of_two_folders_do_not_cancel(spark, tmp_path):
