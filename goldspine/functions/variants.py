@@ -41,45 +41,61 @@ def is_boolean(value: Column) -> Column:
     return F.coalesce(kind(value) == "BOOLEAN", F.lit(False))
 
 
+def first_of(found: Sequence[Column]) -> Column:
+    """First of several VARIANT values that is not null, ``""``, ``[]`` or ``{}``."""
+    return F.coalesce(*[F.when(~F.to_json(one).isin("null", '""', "[]", "{}"), one) for one in found])
+
+
 def first_present(value: Column, paths: Sequence[Path]) -> Column:
-    """First VARIANT among ``paths`` that is not null, ``""``, ``[]`` or ``{}``."""
+    """First VARIANT among ``paths`` that is present."""
+    return first_of([at(value, path) for path in paths])
 
-    def present(path: Path) -> Column:
-        found = at(value, path)
-        return F.when(~F.to_json(found).isin("null", '""', "[]", "{}"), found)
 
-    return F.coalesce(*[present(path) for path in paths])
+def text_of(value: Column, its_kind: Column) -> Column:
+    """Text of a scalar of the given kind; null for an object or an array."""
+    nested = F.coalesce(its_kind.startswith("OBJECT") | its_kind.startswith("ARRAY"), F.lit(False))
+    return F.when(~nested, F.try_variant_get(value, "$", "string"))
 
 
 def scalar_text(value: Column) -> Column:
-    """Text of a scalar; null for an object or an array."""
-    return F.when(~is_object(value) & ~is_array(value), F.try_variant_get(value, "$", "string"))
+    return text_of(value, kind(value))
 
 
 def first_text(value: Column, paths: Sequence[Path]) -> Column:
     return scalar_text(first_present(value, paths))
 
 
+def first_item(value: Column) -> Column:
+    """The first of a list, or the value itself."""
+    return F.when(is_array(value), F.try_variant_get(value, "$[0]", "variant")).otherwise(value)
+
+
+def named(value: Column, field: str) -> Column:
+    """``field`` of an object, or the value itself."""
+    return F.when(is_object(value), at(value, (field,))).otherwise(value)
+
+
 def first_item_name(value: Column, paths: Sequence[Path], field: str = "name") -> Column:
     """A label given as text, as an object with ``field``, or as a list of either."""
-    found = first_present(value, paths)
-    item = F.when(is_array(found), F.try_variant_get(found, "$[0]", "variant")).otherwise(found)
-    return F.when(is_object(item), scalar_text(at(item, (field,)))).otherwise(scalar_text(item))
+    return scalar_text(named(first_item(first_present(value, paths)), field))
 
 
 def measure(value: Column, unit: str) -> Column:
     """Unwrap ``{unit: number, ...}``; a bare value is itself."""
-    return F.when(is_object(value), at(value, (unit,))).otherwise(value)
+    return named(value, unit)
 
 
-def integer(value: Column) -> Column:
+def integer(value: Column, its_kind: Column | None = None) -> Column:
+    """``its_kind``: the value's kind where it is at hand as a column."""
+    its_kind = kind(value) if its_kind is None else its_kind
     number = F.round(F.try_variant_get(value, "$", "decimal(38,6)")).try_cast("bigint")
-    return F.when(is_text(value), to_integer(scalar_text(value), T.StringType())).otherwise(number)
+    return F.when(F.coalesce(its_kind == "STRING", F.lit(False)), to_integer(text_of(value, its_kind), T.StringType())).otherwise(number)
 
 
-def double(value: Column) -> Column:
+def double(value: Column, its_kind: Column | None = None) -> Column:
+    its_kind = kind(value) if its_kind is None else its_kind
     number = F.try_variant_get(value, "$", "double")
-    return F.when(is_text(value), to_double(scalar_text(value), T.StringType())).otherwise(number)
+    return F.when(F.coalesce(its_kind == "STRING", F.lit(False)), to_double(text_of(value, its_kind), T.StringType())).otherwise(number)
 
 
 def labels(value: Column, field: str) -> Column:

@@ -97,26 +97,47 @@ def explode_objects(parsed: DataFrame, *keep: str) -> DataFrame:
 
 
 def normalize_records(objects: DataFrame, *keep: str, source_url: str | None = None, item: str = "item") -> DataFrame:
-    """Flat records from nested objects of any known layout; other items are skipped."""
+    """Flat records from nested objects of any known layout; other items are skipped.
+
+    Each step is a projection of its own over the columns of the one before:
+    the value at every path, then the first that is present, then its kind, then
+    the field. So a path is looked up once, however often its value is asked for.
+    """
     value = F.col(item)
+    at = objects.where(V.is_object(value)).select(
+        *keep,
+        *[V.at(value, path).alias(f"_{field}_{k}") for field, paths in PATHS.items() for k, path in enumerate(paths)],
+        V.at(value, ("currencies",)).alias("_currencies"), V.at(value, ("languages",)).alias("_languages"),
+    )
+    lists = ("currencies", "languages")
+    first = at.select(
+        *keep, *[V.first_of([F.col(f"_{field}_{k}") for k in range(len(paths))]).alias(field) for field, paths in PATHS.items()],
+        *[F.col(f"_{c}").alias(c) for c in lists],
+    )
+    # Unwrapped: the first capital of a list, the square kilometres of an area.
+    unwrapped = first.select(
+        *keep, *[c for c in (*PATHS, *lists) if c not in ("capital", "area_km2")],
+        V.first_item(F.col("capital")).alias("capital"), V.measure(F.col("area_km2"), "kilometers").alias("area_km2"),
+    )
+    named = unwrapped.withColumn("capital", V.named(F.col("capital"), "name"))
+    kinds = named.select("*", *[V.kind(F.col(field)).alias(f"_kind_{field}") for field in PATHS])
 
     def text(field: str) -> Column:
-        return V.first_text(value, PATHS[field]).alias(field)
+        return V.text_of(F.col(field), F.col(f"_kind_{field}")).alias(field)
 
-    area = V.measure(V.first_present(value, PATHS["area_km2"]), "kilometers")
-    return objects.where(V.is_object(value)).select(
+    return kinds.select(
         *keep,
         text("iso2"),
         text("iso3"),
         text("country_name"),
         text("official_name"),
-        V.first_item_name(value, PATHS["capital"]).alias("capital"),
+        text("capital"),
         text("region"),
         text("subregion"),
-        V.integer(V.first_present(value, PATHS["population"])).alias("population"),
-        V.double(area).alias("area_km2"),
-        V.labels(V.at(value, ("currencies",)), "code").alias("currencies"),
-        V.labels(V.at(value, ("languages",)), "name").alias("languages"),
+        V.integer(F.col("population"), F.col("_kind_population")).alias("population"),
+        V.double(F.col("area_km2"), F.col("_kind_area_km2")).alias("area_km2"),
+        V.labels(F.col("currencies"), "code").alias("currencies"),
+        V.labels(F.col("languages"), "name").alias("languages"),
         F.lit("api").alias("source_type"),
         F.lit(source_url).cast("string").alias("source_url"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("extracted_at"),
