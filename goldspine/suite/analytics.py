@@ -105,10 +105,6 @@ def uniqueness_summary(spark: SparkSession, sf: str) -> DataFrame:
     return key_summary(lines, ["l_orderkey", "line_key"], duplicate_lines=duplicate_count("line_key"))
 
 
-def plan_capture(spark: SparkSession, sf: str) -> DataFrame:
-    return plans.plan_lines(spark, _latest(spark, sf), execute=True)
-
-
 QUERIES = {
     "entities_by_region": entities_by_region,
     "latest_indicator_ranked": latest_indicator_ranked,
@@ -121,7 +117,6 @@ QUERIES = {
     "active_scan": active_scan,
     "bound_sql": bound_sql,
     "uniqueness_summary": uniqueness_summary,
-    "plan_capture": plan_capture,
 }
 
 ORACLES = {

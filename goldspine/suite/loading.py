@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.operators import quality as Q
@@ -9,6 +11,7 @@ from goldspine.operators.crud import REASON, ForeignKey, create_rows, judge_repl
 from goldspine.operators.joins import childless, orphans
 from goldspine.operators.referential import cascade_delete, cascade_key, delete_rows, set_null
 from goldspine.operators.upsert import CHANGE, new_keys, resolve_ids, upsert
+from goldspine.plans import validation
 from goldspine.plans.star_load import extend_dimension, upsert_with_ids
 from goldspine.suite.tables import customers, read
 
@@ -250,6 +253,27 @@ def post_load_validation(spark: SparkSession, sf: str) -> DataFrame:
     return counted
 
 
+def post_load_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that each check of a finished load returns, on customers as countries and orders as indicators."""
+    nation, customer = read(spark, sf, "nation"), read(spark, sf, "customer")
+    checks = validation.post_load_checks(
+        read(spark, sf, "region").select(F.col("r_regionkey").alias("region_id")),
+        nation.select(F.col("n_nationkey").alias("subregion_id")),
+        customer.select(
+            F.col("c_custkey").alias("country_id"), F.col("c_name").alias("iso2"), F.col("c_name").alias("iso3"),
+            (F.col("c_custkey") % 7).alias("region_id"), (F.col("c_nationkey") + F.col("c_custkey") % 3).alias("subregion_id"),
+        ),
+        read(spark, sf, "orders").select(
+            F.col("o_orderkey").alias("country_indicator_id"), (F.col("o_custkey") + F.col("o_orderkey") % 2).alias("country_id"),
+            F.year("o_orderdate").alias("indicator_year"), (F.col("o_orderkey") % 11 - 1).alias("population"),
+            F.col("o_totalprice").alias("area_km2"), (F.col("o_totalprice") - 2000).alias("gdp_usd"),
+        ),
+        read(spark, sf, "events").select(F.col("event_id").alias("load_id"), F.col("ts").alias("started_at")),
+    )
+    counted = [rows.agg(F.lit(name).alias("check"), F.count("*").alias("rows")) for name, rows in checks.items()]
+    return reduce(DataFrame.unionAll, counted)
+
+
 QUERIES = {
     "upsert_merge": upsert_merge,
     "load_counters": load_counters,
@@ -270,6 +294,7 @@ QUERIES = {
     "rule_violations": rule_violations,
     "rule_reasons": rule_reasons,
     "post_load_validation": post_load_validation,
+    "post_load_checks": post_load_checks,
 }
 
 _UPSERT = """
@@ -419,4 +444,13 @@ ORACLES = {
         UNION ALL SELECT 'orphan_event', count(*) FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)
         UNION ALL SELECT 'bad_values', count(*) FROM orders WHERE o_totalprice < 0 OR year(o_orderdate) NOT BETWEEN 1995 AND 2100
     """,
+    "post_load_checks": """
+        SELECT 'keys' AS check, 1::BIGINT AS rows
+        UNION ALL SELECT 'orphan_region', count(*) FROM customer WHERE c_custkey % 7 NOT IN (SELECT r_regionkey FROM region)
+        UNION ALL SELECT 'orphan_subregion', count(*) FROM customer WHERE c_nationkey + c_custkey % 3 NOT IN (SELECT n_nationkey FROM nation)
+        UNION ALL SELECT 'orphan_indicator', count(*) FROM orders WHERE o_custkey + o_orderkey % 2 NOT IN (SELECT c_custkey FROM customer)
+        UNION ALL SELECT 'bad_values', count(*) FROM orders
+            WHERE o_orderkey % 11 = 0 OR o_totalprice <= 0 OR o_totalprice < 2000 OR year(o_orderdate) NOT BETWEEN YEARS
+        UNION ALL SELECT 'last_load', 1
+    """.replace("YEARS", "{} AND {}".format(*Q.YEAR_RANGE)),
 }
