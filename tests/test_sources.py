@@ -3,6 +3,7 @@ import json
 import os
 import random
 import time
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,9 @@ def test_html_rows(spark):
         html.require_records(records.limit(0))
 
 
+GOOD = '<table class="wikitable"><tr><th>Country</th><th>Population</th></tr><tr><td>{}</td><td>1</td></tr></table>'
+
+
 @pytest.mark.parametrize(
     ("text", "table_id", "expected"),
     [
@@ -223,12 +227,44 @@ def test_html_rows(spark):
         ('<table class="wikitable"><tbody><tr><th>Country</th><th>Population</th></tr><tr><td>A<br>b<table><tr><td>in</td></tr></table>'
          "</td><td>1</td></tr></tbody></table>", None, [(0, "A b in", "1")]),
         ("", None, []),
+        # The table with the id wins although one of the class ends before it; if it does not fit, that one stays.
+        (GOOD.format("A") + GOOD.format("B").replace("<table", '<table id="p"'), "p", [(0, "B", "1")]),
+        (GOOD.format("A") + '<table id="p"><tr><td>x</td></tr></table>', "p", [(0, "A", "1")]),
+        # A table inside the first row of one that does not fit, and one that fits around it.
+        ('<table class="wikitable"><tr>' + GOOD.format("in") + "</tr></table>", None, [(0, "in", "1")]),
+        ('<table class="wikitable"><tr><td>Country</td><td>Population' + GOOD.format("in") + "</td></tr><tr><td>C</td><td>3</td></tr></table>",
+         None, [(0, "Country", "Population"), (1, "in", "1"), (2, "C", "3")]),
+        # Empty elements, a cell inside a cell, an end tag of nothing, a table that is never closed.
+        ('<table class="wikitable"/><table class="wikitable"><tr/></table>' + GOOD.format("D</b>e<td>f</td>")[:-8], None, [(0, "De f", "1")]),
     ],
 )
 def test_table_choice(text, table_id, expected):
     assert list(html.table_rows(text, table_id)) == expected
 
 
+def test_large_page_in_bounded_memory():
+    """50 MB of paragraphs and of tables that do not fit, then one that does."""
+    other = '<table class="wikitable"><tr><th>Area</th></tr>' + "<tr><td>1</td><td>2</td></tr>" * 5000 + "</table>"
+    page = "<p>" + ("<b>word</b> " + "x" * 500 + "<br>") * 96_000 + other * 5 + GOOD.format("A")
+    assert len(page) > 50_000_000
+    tracemalloc.start()
+    assert html.table_rows(page) == [(0, "A", "1")]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000
+
+
+def test_html_rows_of_many_pages(spark):
+    """More rows than leave a task at once; kept columns may be named as one likes."""
+    rows = "<table class='wikitable'><tr><th>Country</th><th>Population</th></tr>" + "<tr><td>A</td><td>1</td></tr>" * 300 + "</table>"
+    df = spark.range(0, 200, 1, 2).select(F.col("id").alias("a.b"), F.lit(rows).alias("_page"), F.array("id").alias("list"))
+    found = html.raw_rows(df.where("id % 2 = 0").withColumnRenamed("list", "name"), "_page", "a.b", "name")
+    assert found.columns == ["a.b", "name", "position", "name_cell", "value_cell"]
+    by_page = found.groupBy("`a.b`", "name").agg(F.count("*").alias("n"), F.max("position").alias("last")).collect()
+    assert len(by_page) == 100 and {(r.n, r.last, r.name[0] == r["a.b"]) for r in by_page} == {(300, 299, True)}
+    assert html.raw_rows(df.limit(0), "_page", "a.b").count() == 0
+
+
 def build_run(spark, root, names=("file", "api", "scraping", "database", "bigdata"), fail=(), go_on=False):
     def job(name):
         def run():
