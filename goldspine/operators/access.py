@@ -14,7 +14,7 @@ MAX_LIMIT = 500
 MAX_SEARCH = 150
 
 
-def _check_page(limit: int, offset: int = 0) -> None:
+def check_page(limit: int, offset: int = 0) -> None:
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be in 1..{MAX_LIMIT}")
     if offset < 0:
@@ -42,15 +42,15 @@ def list_page(
     search_column: str | None = None,
     term: str | None = None,
 ) -> DataFrame:
-    """One page in id order. Deep pages cost their offset; see ``page_after``."""
-    _check_page(limit, offset)
+    """One page in id order. Deep pages cost their offset; see ``page_after`` and ``sinks.clustered.page_at``."""
+    check_page(limit, offset)
     rows = search(df, search_column, term) if term and search_column else df
     return rows.orderBy(id_column).offset(offset).limit(limit)
 
 
 def page_after(df: DataFrame, id_column: str, last_id=None, limit: int = DEFAULT_LIMIT) -> DataFrame:
     """The page following ``last_id``; the bound is pushed to the scan at any depth."""
-    _check_page(limit)
+    check_page(limit)
     rows = df if last_id is None else df.where(F.col(id_column) > F.lit(last_id))
     return rows.orderBy(id_column).limit(limit)
 
@@ -80,6 +80,6 @@ def get_many(df: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
 
 def most_recent(df: DataFrame, time: str, limit: int = DEFAULT_LIMIT, offset: int = 0, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Newest rows first."""
-    _check_page(limit, offset)
+    check_page(limit, offset)
     order = [F.col(time).desc_nulls_first(), *[F.col(c).desc() for c in tie_break]]
     return df.orderBy(*order).offset(offset).limit(limit)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from goldspine.operators.access import get_many, list_page, most_recent, page_after, search
+from goldspine.sinks.clustered import page_at, write_clustered
+from goldspine.sinks.staging import staging_path
 from goldspine.suite.tables import day, read
 
 
@@ -24,6 +26,13 @@ def keyset_page(spark: SparkSession, sf: str) -> DataFrame:
     return page_after(orders, "o_orderkey", 1000, 500)
 
 
+def seek_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The page at two thirds of all orders, out of sorted files with an index."""
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    path = write_clustered(orders, "o_orderkey", staging_path(spark, "orders"), 20_000, bloom=["o_custkey"])
+    return page_at(spark, path, 500, orders.count() * 2 // 3)
+
+
 def point_lookup(spark: SparkSession, sf: str) -> DataFrame:
     suppliers = read(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     return get_many(suppliers, read(spark, sf, "events").select(F.col("user_id").alias("s_suppkey")), "s_suppkey")
@@ -38,6 +47,7 @@ QUERIES = {
     "search_page": search_page,
     "search_all": search_all,
     "keyset_page": keyset_page,
+    "seek_page": seek_page,
     "point_lookup": point_lookup,
     "most_recent_rows": most_recent_rows,
 }
@@ -51,6 +61,10 @@ ORACLES = {
     "keyset_page": """
         SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey > 1000 ORDER BY o_orderkey LIMIT 500
     """,
+    "seek_page": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        ORDER BY o_orderkey LIMIT 500 OFFSET (SELECT count(*) * 2 // 3 FROM orders)
+    """,
     "point_lookup": """
         SELECT user_id AS s_suppkey, s_name, s_acctbal, s_suppkey IS NOT NULL AS found
         FROM events LEFT JOIN supplier ON s_suppkey = user_id

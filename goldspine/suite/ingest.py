@@ -10,7 +10,7 @@ from goldspine.sinks.documents import lineage, write_table
 from goldspine.sinks.staging import stage, staging_path
 from goldspine.sources.files import fingerprints, read_csv, read_json, read_parquet, stored_bytes, write_raw
 from goldspine.sources.html import clean_rows, raw_rows
-from goldspine.sources.manifest import compare_entries, file_entries
+from goldspine.sources.manifest import compare_entries, file_entries, newest_output
 from goldspine.sources.pages import explode_objects, normalize_records, parse_pages, protocol_summary
 from goldspine.suite.tables import NAMES, customers, day, read
 
@@ -136,6 +136,29 @@ def sink_json(spark: SparkSession, sf: str) -> DataFrame:
     return read_json(spark, path, "c_custkey bigint, c_name string, c_acctbal double, absent string", lines=True)
 
 
+def json_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers read from files that hold an array each, one file for a segment."""
+    rows = read(spark, sf, "customer")
+    first = rows.groupBy("c_mktsegment").agg(F.min("c_custkey").alias("first"))
+    sign = F.when(F.col("c_custkey") == F.col("first"), "[").otherwise(",")
+    record = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal"))
+    lines = rows.join(first, "c_mktsegment").select("c_mktsegment", "c_custkey", F.concat(sign, record).alias("line"))
+    ends = first.select("c_mktsegment", F.lit(None).cast("bigint").alias("c_custkey"), F.lit("]").alias("line"))
+    path = staging_path(spark, "arrays")
+    placed = lines.unionAll(ends).repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", F.col("c_custkey").asc_nulls_last())
+    placed.select("c_mktsegment", "line").write.partitionBy("c_mktsegment").text(path)
+    return read_json(spark, path, "c_custkey bigint, c_name string, c_acctbal double, absent string").drop("c_mktsegment")
+
+
+def newest_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Of two outputs of a job the one written last, whatever its name."""
+    folder = staging_path(spark, "outputs")
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    write_table(orders.withColumn("o_totalprice", -F.col("o_totalprice")), f"{folder}/orders_2", "parquet")
+    write_table(orders, f"{folder}/orders_1", "parquet")
+    return read_parquet(spark, newest_output(spark, folder, "orders_*"))
+
+
 def sink_parquet(spark: SparkSession, sf: str) -> DataFrame:
     lines = read(spark, sf, "lineitem").withColumn("l_shipdate", day("l_shipdate"))
     path = write_table(lines, staging_path(spark, "parquet"), "parquet", compression="zstd")
@@ -203,6 +226,8 @@ QUERIES = {
     "html_table_rows": html_table_rows,
     "sink_csv": sink_csv,
     "sink_json": sink_json,
+    "json_array": json_array,
+    "newest_output": newest_orders,
     "sink_parquet": sink_parquet,
     "manifest_verify": manifest_verify,
     "file_lineage": file_lineage,
@@ -245,6 +270,8 @@ ORACLES = {
         FROM orders
     """,
     "sink_json": "SELECT c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS absent FROM customer",
+    "json_array": "SELECT c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS absent FROM customer",
+    "newest_output": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "sink_parquet": """
         SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_tax FROM lineitem
     """,
