@@ -101,7 +101,8 @@ def fit_chain(
 
     ``categories`` names each category with the condition on ``labels`` that
     makes a row one. Rows without an id or with a null condition are no
-    examples; of rows with one id the first by its marks counts. A category
+    examples; of labels with one id the first by its marks counts, of documents
+    with one id the one whose text has the least hash. A category
     that all or no labelled rows have gets its share as a constant probability,
     and without any labelled document all probabilities are about 0.
     """
@@ -116,7 +117,9 @@ def fit_chain(
     share = 1.0 if rows <= most else most / rows
     chosen = marks.where(F.pmod(F.xxhash64(F.lit("sample"), ID), F.lit(1 << 30)) < int(share * (1 << 30)))
     # At most some ``most`` rows of a few numbers.
-    labelled = keyed(docs, id_column, text_column).join(F.broadcast(chosen), ID).dropDuplicates([ID]).select(ID, *[f"y_{n}" for n in names], TEXT)
+    met = keyed(docs, id_column, text_column).join(F.broadcast(chosen), ID)
+    first = F.min_by(F.struct(*[f"y_{n}" for n in names], TEXT), FP).alias("first")
+    labelled = met.groupBy(ID).agg(first).select(ID, "first.*")
     sample = stage(labelled.mapInArrow(_places, f"{ID} long, {', '.join(f'y_{n} int' for n in names)}, places array<int>"), "sample")
     return pickle.loads(sample.repartition(1).mapInArrow(_sampler(names), "chain binary").first()[0])
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from goldspine.llm.keys import FP, ID, TEXT, keyed, public_id
 from goldspine.llm.linear import MAX_TRAINING_ROWS, Model, distinct_places, fit, stacked
@@ -139,20 +139,17 @@ def estimate(patterns: Mapping[str, int], rounds: int = 100) -> tuple[dict[str,
     return dict(zip(names, posterior.tolist())), accuracy
 
 
-def _voter(share: float):
-    """Votes of every row, and the places of those drawn."""
+def _voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Votes and places of every row, in the one pass over the texts."""
+    for part, data, offsets in chunks(batches, TEXT):
+        n, measures, places, starts = measure(data, offsets)
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(places))
+        yield pa.RecordBatch.from_arrays([part.column(ID), part.column(FP), pa.array(votes(n, measures), pa.string()), lists], names=[ID, FP, "votes", "places"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offsets in chunks(batches, TEXT):
-            n, measures, places, starts = measure(data, offsets)
-            keys = mix(part.column(ID).to_numpy().view(U64) ^ mix(part.column(FP).to_numpy().view(U64)))
-            chosen = (keys >> U64(33)).astype(np.float64) < share * (1 << 31)
-            lists = [places[a:b] if c else None for a, b, c in zip(starts[:-1], starts[1:], chosen)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(ID), part.column(FP), pa.array(votes(n, measures)), pa.array(lists, pa.list_(pa.int32()))], names=[ID, FP, "votes", "places"]
-            )
 
-    return run
+def _drawn(share: float) -> Column:
+    """Whether a row is of the sample, by a hash of its id and text."""
+    return F.pmod(F.xxhash64(F.lit("quality sample"), ID, FP), F.lit(1 << 30)) < int(share * (1 << 30))
 
 
 def _trainer(posterior: Mapping[str, float]):
@@ -171,34 +168,36 @@ def _trainer(posterior: Mapping[str, float]):
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", most: int = MAX_TRAINING_ROWS) -> DataFrame:
     """``_id, _fp, votes, posterior, score`` for every row.
 
-    The scorer is fitted on about ``most`` documents at most, drawn by a hash of
+    Texts are read and measured once: their votes and the places of their words
+    are staged, some bytes for each distinct word, and the scorer reads those.
+    It is fitted on about ``most`` documents at most, drawn by a hash of
     id and text; votes and their counts cover all. Null and empty texts, and
     texts of under ten words, get no votes: their posterior is the share of good
     documents. An empty table stays empty.
     """
     spark = docs.sparkSession
     rows = keyed(docs, id_column, text_column)
-    total = rows.count()
-    voted = stage(rows.mapInArrow(_voter(min(1.0, most / max(total, 1))), f"{ID} long, {FP} long, votes string, places array<int>"), "votes")
+    voted = stage(rows.mapInArrow(_voted, f"{ID} long, {FP} long, votes string, places array<int>"), "votes")
     counts = {r["votes"]: r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
     posterior, _ = estimate(counts)
-    sample = voted.where(F.col("places").isNotNull()).select(ID, FP, "votes", "places")
+    sample = voted.where(_drawn(min(1.0, most / max(sum(counts.values()), 1))))
     found = sample.repartition(1).mapInArrow(_trainer(posterior), "model binary").collect() if posterior else []
     learnt: Model | None = pickle.loads(found[0][0]) if found else None
     shared = spark.sparkContext.broadcast((learnt, posterior))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value
-        for part, data, offsets in chunks(batches, TEXT):
-            n, measures, places, starts = measure(data, offsets)
-            given = votes(n, measures)
-            scores = model.predict(places, starts, np.zeros((part.num_rows, 0)))
+        for batch in batches:
+            lists, given = batch.column("places"), batch.column("votes").to_pylist()
+            starts = lists.offsets.to_numpy().astype(np.int64)
+            places = lists.values.to_numpy()
+            scores = model.predict(places, starts, np.zeros((batch.num_rows, 0)))
             yield pa.RecordBatch.from_arrays(
-                [part.column(ID), part.column(FP), pa.array(given), pa.array([known[v] for v in given], pa.float64()), pa.array(scores)],
+                [batch.column(ID), batch.column(FP), batch.column("votes"), pa.array([known[v] for v in given], pa.float64()), pa.array(scores)],
                 names=[ID, FP, "votes", "posterior", "score"],
             )
 
-    return rows.mapInArrow(run, f"{ID} long, {FP} long, votes string, posterior double, score double")
+    return voted.mapInArrow(run, f"{ID} long, {FP} long, votes string, posterior double, score double")
 
 
 def summary(docs: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
 """Mixing, classifiers, archives and chats."""
 
 import hashlib
+import math
+import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from goldspine.llm import chat, mixing, toxicity, warc, weak_quality
+from goldspine.llm import chat, linear, mixing, sketch, toxicity, warc, weak_quality
 from goldspine.sinks.staging import staging_path
 from goldspine.suite.tables import read
 from tests.llm import cases
@@ -145,6 +147,142 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.summary(docs.limit(0), marks).count() == 0
 
 
+def plain_logistic(rows, beside, y, penalty=1e-2, rounds=60):
+    """The model of ``linear.fit``, word by word: weights of places, of columns beside them, and the bias."""
+    n, share = len(rows), sum(y) / len(y)
+    seen = {p for row in rows for p in row}
+    with_, positive = {p: sum(p in r for r in rows) for p in seen}, {p: sum(t for r, t in zip(rows, y) if p in r) for p in seen}
+    ratio = {
+        p: math.log((positive[p] + 2 * share) / (with_[p] - positive[p] + 2 * (1 - share)) * (1 - share) / share) if with_[p] >= 2 else 0.0
+        for p in seen
+    }
+    names = sorted(seen)
+    matrix = np.array([[ratio[p] if p in r else 0.0 for p in names] + list(b) + [1.0] for r, b in zip(rows, beside)])
+    v = np.ones(matrix.shape[1])
+    for _ in range(8):
+        v = matrix.T @ (matrix @ (v / np.linalg.norm(v))) / n
+    step = 1 / (0.3 * np.linalg.norm(v) + penalty)
+    free = np.append(np.full(matrix.shape[1] - 1, penalty), 0.0)
+    w = np.zeros(matrix.shape[1])
+    clipped = min(max(share, 1e-4), 1 - 1e-4)
+    w[-1] = math.log(clipped / (1 - clipped))
+    ahead, t = w, 1.0
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-(matrix @ ahead)))
+        after = ahead - step * (matrix.T @ (p - np.array(y)) / n + free * ahead)
+        later = (1 + math.sqrt(1 + 4 * t * t)) / 2
+        ahead, w, t = after + (t - 1) / later * (after - w), after, later
+    weight = {p: w[k] * ratio[p] for k, p in enumerate(names)}
+
+    def predict(row, columns):
+        z = sum(weight.get(p, 0.0) for p in row) + sum(a * b for a, b in zip(columns, w[len(names) : -1])) + w[-1]
+        return 1 / (1 + math.exp(-z))
+
+    return predict
+
+
+def test_chain_equals_a_plain_one():
+    """Out-of-fold columns, thresholds and probabilities, against loops over rows and words."""
+    draw = random.Random(11)
+    rows = [sorted(draw.sample(range(40), draw.randint(0, 12))) for _ in range(90)]
+    y = {"a": [float(bool({1, 2} & set(r))) for r in rows], "b": [float(3 in r or draw.random() < 0.1) for r in rows], "none": [0.0] * 90}
+    folds = [draw.randrange(toxicity.FOLDS) for _ in rows]
+    places, begins = linear.stacked(rows)
+    chain = toxicity.learn(places, begins, {k: np.array(v) for k, v in y.items()}, np.array(folds))
+    got = chain.predict(places, begins)
+
+    before, final = [[] for _ in rows], [[] for _ in rows]
+    for k, (name, t) in enumerate(y.items()):
+        if name == "none":
+            assert np.all(got[:, k] < 1e-6)
+            continue
+        whole = plain_logistic(rows, before, t)
+        out = [0.0] * len(rows)
+        for fold in range(toxicity.FOLDS):
+            inside = [i for i in range(len(rows)) if folds[i] != fold]
+            model = plain_logistic([rows[i] for i in inside], [before[i] for i in inside], [t[i] for i in inside])
+            for i in range(len(rows)):
+                if folds[i] == fold:
+                    out[i] = model(rows[i], before[i])
+        final = [f + [whole(r, f)] for r, f in zip(rows, final)]
+        assert got[:, k] == pytest.approx([f[-1] for f in final], abs=1e-5)
+        threshold = chain.models[name].threshold
+        f1 = lambda cut: 2 * sum(o >= cut and u for o, u in zip(out, t)) / (sum(o >= cut for o in out) + sum(t))
+        assert f1(threshold) == pytest.approx(max(f1(o) for o in out))
+        before = [b + [o] for b, o in zip(before, out)]
+
+
+def test_toxicity_of_two_texts_of_a_labelled_id(spark):
+    """Of a labelled id's texts the same one is learnt from, however rows lie."""
+    rows = [(i % 40, f"word{i} " + ("vile" if i % 2 else "fine")) for i in range(80)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(40)], "doc_id long, quality int, toxic int")
+    results = [
+        sorted(toxicity.summary(cases.frame(spark, some).repartition(n), marks).collect()) for some, n in ((rows, 1), (rows[::-1], 5))
+    ]
+    assert results[0] == results[1]
+
+
+def test_estimation_equals_a_plain_one():
+    """Expectation-maximisation over single rows of votes, heuristic by heuristic."""
+    draw = random.Random(5)
+    rows = ["".join(draw.choice("01-") if draw.random() < 0.5 else "1" for _ in weak_quality.LABELLERS) for _ in range(300)]
+    posterior = [(r.count("1") + 1) / (r.count("0") + r.count("1") + 2) for r in rows]
+    for _ in range(100):
+        prior = sum(posterior) / len(rows)
+        given = {}
+        for good in (True, False):
+            mass = [p if good else 1 - p for p in posterior]
+            for k in range(len(rows[0])):
+                sums = {v: 0.5 + sum(m for m, r in zip(mass, rows) if r[k] == v) for v in "01-"}
+                for v in "01-":
+                    given[good, k, v] = sums[v] / sum(sums.values())
+        odds = [
+            math.log((1 - prior) / prior) + sum(math.log(given[False, k, v] / given[True, k, v]) for k, v in enumerate(r) if v != "-") for r in rows
+        ]
+        posterior = [1 / (1 + math.exp(o)) for o in odds]
+    got, accuracy = weak_quality.estimate({r: rows.count(r) for r in rows})
+    assert [got[r] for r in rows] == pytest.approx(posterior, abs=1e-9)
+    for k, name in enumerate(weak_quality.LABELLERS):
+        voting = given[True, k, "1"] / (given[True, k, "0"] + given[True, k, "1"])
+        assert accuracy[name]["good"] == pytest.approx(voting)
+
+
+def test_scores_equal_a_plain_model(spark):
+    """Every row's posterior and score, from measures of one text at a time and a plain linear model."""
+    docs = cases.frame(spark, [(i, t) for i, (_, t) in enumerate(cases.corpus(n=40))])
+    got = {r._id: r for r in weak_quality.score(docs).collect()}
+    texts = {r.doc_id: (r.text or "") for r in docs.collect()}
+    votes, places = {}, {}
+    for i, text in texts.items():
+        data = text.encode()
+        n, measures, found, _ = weak_quality.measure(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        votes[i], places[i] = weak_quality.votes(n, measures)[0], found.tolist()
+    every = list(votes.values())
+    posterior, _ = weak_quality.estimate({v: every.count(v) for v in every})
+    ids = sorted(texts)
+    predict = plain_logistic([places[i] for i in ids], [[] for _ in ids], [posterior[votes[i]] for i in ids])
+    assert got.keys() == texts.keys()
+    for i in ids:
+        assert (got[i].votes, got[i].posterior) == (votes[i], pytest.approx(posterior[votes[i]]))
+        assert got[i].score == pytest.approx(predict(places[i], []), abs=1e-4)
+
+
+def test_counters_add_up_over_levels(spark, monkeypatch):
+    """A tree of two rows a task gives the same sums as one task, and none of no rows."""
+    monkeypatch.setattr(sketch, "_FAN", 2)
+
+    def count(batches):
+        counts = np.zeros(1 << 10, np.int64)
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                counts[i % 7] += 1
+        yield sketch.partial(counts)
+
+    sums = sketch.total(spark.range(0, 1000, 1, 11).mapInArrow(count, sketch.PARTIAL), lambda c: c)
+    assert sums[:7].tolist() == [len(range(k, 1000, 7)) for k in range(7)] and sums[7:].sum() == 0
+    assert len(sketch.total(spark.createDataFrame([], sketch.PARTIAL), lambda c: c)) == 0
+
+
 def test_quality_against_labels(labelled):
     docs, labels = labelled
     found = weak_quality.summary(docs).join(labels, "doc_id")
