@@ -39,13 +39,13 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has the longs ``a`` and ``b``. Rounds of alternately hanging every
     larger, and every smaller, neighbour on the smallest one; a graph becomes
-    stars in a number of rounds that grows with the logarithm of its size. Each
-    round is written, so a lost executor costs no earlier round.
+    stars in a number of rounds that grows with the logarithm of its size, none
+    if it is stars already. Each round is written, so a lost executor costs no
+    earlier round.
     """
     both = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     stars = stage(both.mapInArrow(_local, _PAIR).distinct(), "stars")
-    was = _digest(stars)
-    while True:
+    while not _settled(stars):
         # Every neighbour above a node hangs on the least of the node and its neighbours.
         around = stars.select("a", "b").unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stage(around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
@@ -54,13 +54,13 @@ def components(links: DataFrame) -> DataFrame:
         lowest = stage(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         stars = stage(small.unionByName(lowest.select("a", F.col("m").alias("b"))).distinct(), "stars")
-        now = _digest(stars)
-        if now == was:
-            break
-        was = now
     nodes = stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def _digest(stars: DataFrame) -> tuple:
-    return tuple(stars.agg(F.count("a"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
+def _settled(stars: DataFrame) -> bool:
+    """Whether every node hangs on one other at most, and on none that hangs itself."""
+    hangs = stars.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    holds = stars.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    nodes = hangs.unionByName(holds).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
