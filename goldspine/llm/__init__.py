@@ -1 +1,8 @@
 """Operators for preparing training data from large text corpora."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Executors need no copy of the package: its functions travel with their tasks.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

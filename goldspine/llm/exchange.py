@@ -14,7 +14,6 @@ from collections.abc import Iterable
 import numpy as np
 import pyarrow as pa
 
-_LIBC = ctypes.CDLL(None)
 PACKED = "bucket int, kind int, payload binary"
 _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
 
@@ -22,7 +21,7 @@ _SCHEMA = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("payload", p
 def release_memory() -> None:
     """Hand back what earlier groups have used: workers live on, and their allocators keep freed memory."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(_LIBC, "malloc_trim", None)
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 

@@ -10,7 +10,7 @@ whatever the base; words beyond ``LONG_WORD`` are therefore hashed modulo a prim
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,26 @@ _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 U64 = np.uint64
 
 
+class _Cache(dict):
+    """What a task keeps for its next texts; it is sent to no task."""
+
+    def __reduce__(self):
+        return _Cache, ()
+
+
+def _by_lane(make):
+    """Made once for each lane."""
+    made = _Cache()
+
+    @wraps(make)
+    def get(lane: int):
+        if lane not in made:
+            made[lane] = make(lane)
+        return made[lane]
+
+    return get
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Every bit of the input changes every bit of the result (splitmix64)."""
     x = x ^ (x >> U64(30))
@@ -35,7 +55,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(LANES)
+@_by_lane
 def _byte_values(lane: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U64) * U64(_BASES[lane]))
 
@@ -45,7 +65,7 @@ LONG_WORD, _PIECE = 64, 4096
 _PRIME = (1 << 61) - 1
 
 
-@lru_cache(LANES)
+@_by_lane
 def _field_powers(lane: int) -> tuple[np.ndarray, np.ndarray, int]:
     """The base's powers modulo the prime, their lower 31 bits and the rest apart, and the one after the last."""
     base, power, powers = _BASES[lane] % _PRIME, 1, []
@@ -80,7 +100,7 @@ def _field_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane:
 
 #: Powers kept for the next texts; those of a longer text go with it.
 _KEPT = 1 << 21
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
 
 
 def _powers(lane: int, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -8,12 +8,12 @@ it will meet.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from goldspine.llm.keys import FP, ID, TEXT, keyed, public_id
@@ -79,7 +79,7 @@ def _sampler(names: list[str]):
         places, begins = stacked(table.column("places").to_numpy(zero_copy_only=False))
         folds = mix(table.column(ID).to_numpy().view(U64)) % U64(FOLDS)
         targets = {name: table.column(f"y_{name}").to_numpy().astype(float) for name in names}
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(learn(places, begins, targets, folds))], pa.binary())], names=["chain"])
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(learn(places, begins, targets, folds))], pa.binary())], names=["chain"])
 
     return train
 
@@ -121,16 +121,16 @@ def fit_chain(
     first = F.min_by(F.struct(*[f"y_{n}" for n in names], TEXT), FP).alias("first")
     labelled = met.groupBy(ID).agg(first).select(ID, "first.*")
     sample = stage(labelled.mapInArrow(_places, f"{ID} long, {', '.join(f'y_{n} int' for n in names)}, places array<int>"), "sample")
-    return pickle.loads(sample.repartition(1).mapInArrow(_sampler(names), "chain binary").first()[0])
+    return cloudpickle.loads(sample.repartition(1).mapInArrow(_sampler(names), "chain binary").first()[0])
 
 
 def score(chain: Chain, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``_id, _fp``, ``p_`` and ``is_`` of each category for every row; null and empty texts have no words."""
     names = list(chain.models)
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(chain))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learnt = shared.value
+        learnt = cloudpickle.loads(shared.value)
         for part, data, offsets in chunks(batches, TEXT):
             (hashes,), begins = words(data, offsets, ALNUM)
             found = learnt.predict(*distinct_places(hashes, begins))

@@ -8,11 +8,11 @@ linear scorer is trained on these labels and scores every document.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
 from goldspine.llm.keys import FP, ID, TEXT, keyed, public_id
@@ -160,7 +160,7 @@ def _trainer(posterior: Mapping[str, float]):
         table = table.take(pa.array(order, pa.int64()))
         places, begins = stacked(table.column("places").to_numpy(zero_copy_only=False))
         y = np.array([posterior[v] for v in table.column("votes").to_pylist()])
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(places, begins, np.zeros((len(y), 0)), y))], pa.binary())], names=["model"])
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(fit(places, begins, np.zeros((len(y), 0)), y))], pa.binary())], names=["model"])
 
     return train
 
@@ -182,11 +182,11 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     posterior, _ = estimate(counts)
     sample = voted.where(_drawn(min(1.0, most / max(sum(counts.values()), 1))))
     found = sample.repartition(1).mapInArrow(_trainer(posterior), "model binary").collect() if posterior else []
-    learnt: Model | None = pickle.loads(found[0][0]) if found else None
-    shared = spark.sparkContext.broadcast((learnt, posterior))
+    learnt: Model | None = cloudpickle.loads(found[0][0]) if found else None
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps((learnt, posterior)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value
+        model, known = cloudpickle.loads(shared.value)
         for batch in batches:
             lists, given = batch.column("places"), batch.column("votes").to_pylist()
             starts = lists.offsets.to_numpy().astype(np.int64)
