@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from goldspine.operators.components import components
+from goldspine.operators.components import components, least_labels
 from goldspine.operators.joins import lookup
 from goldspine.operators.quality import Rule, with_reasons
 from goldspine.operators.upsert import CHANGE, upsert
@@ -112,25 +113,67 @@ def _settler(unique: list[list[str]], ordinal: str):
     return settle
 
 
+#: Rows of a range of ordinals whose links one task contracts at once.
+PIECE_ROWS = 1 << 18
+
+
+def _placer(columns: list[str], names: list[str]):
+    def placed(rows: pa.Table) -> pa.RecordBatch:
+        # Every row has a first name; the others are linked with it.
+        first = rows.column(names[0]).to_numpy()
+        links = [(first, first)]
+        for name in names[1:]:
+            held = rows.column(name).is_valid().to_numpy()
+            links.append((first[held], rows.column(name).drop_null().to_numpy()))
+        nodes, label = least_labels(*map(np.concatenate, zip(*links)))
+        centre = pa.array(nodes[label[np.searchsorted(nodes, first)]])
+        return rows.select(columns).append_column("_centre", centre).combine_chunks().to_batches()[0]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= 2 * PIECE_ROWS:
+                yield placed(pa.Table.from_batches(held))
+                held, rows = [], 0
+        if rows:
+            yield placed(pa.Table.from_batches(held))
+
+    return place
+
+
 def _settle_components(undecided: DataFrame, unique: list[list[str]], ordinal: str, most: int) -> tuple[DataFrame, DataFrame]:
     """(ordinals accepted in components of up to ``most`` rows, the rows of larger components).
 
-    Rows are connected by the keys they share. Hashes name rows and keys; two
-    that meet only join components that could be apart.
+    Rows are connected by the keys they share. Hashes name the keys; two that
+    meet only join components that could be apart. After the first round a row is
+    left only behind an earlier one, so a range of ordinals holds whole stretches
+    of a chain: each range is reduced to its own components in a task, and only
+    those that share a key across ranges are links of the graph.
     """
-    row = F.xxhash64(F.lit("row"), ordinal)
-    links = reduce(DataFrame.unionAll, [
-        undecided.dropna(subset=keys).select(row.alias("a"), F.xxhash64(F.lit(k), *keys).alias("b")) for k, keys in enumerate(unique)
+    rows = undecided.count()
+    named = [F.when(_all_set(keys), F.xxhash64(F.lit(k), *keys)) for k, keys in enumerate(unique)]
+    names = ["_first", *[f"_name{k}" for k in range(len(unique))]]
+    first = F.coalesce(*named, F.xxhash64(F.lit("row"), ordinal))
+    # Hashes do not compress, so they are made behind the shuffle.
+    ranges = undecided.repartitionByRange(-(-rows // PIECE_ROWS), ordinal).sortWithinPartitions(ordinal)
+    ranges = ranges.select("*", *[c.alias(n) for c, n in zip([first, *named], names)])
+    layout = T.StructType([*undecided.schema.fields, T.StructField("_centre", T.LongType())])
+    placed = stage(ranges.mapInArrow(_placer(undecided.columns, names), layout), "settle")
+    held = reduce(DataFrame.unionAll, [
+        placed.dropna(subset=keys).select(name.alias("key"), "_centre") for keys, name in zip(unique, named)
     ])
-    named = components(links)
-    placed = stage(undecided.join(named, row == F.col("node"), "left").withColumn("component", F.coalesce("component", row)).drop("node"), "settle")
+    shared = held.groupBy("key").agg(F.min("_centre").alias("b"), F.max("_centre").alias("_last")).where("b <> _last")
+    # Written first: a few shared keys are then broadcast, and no row moves for them.
+    links = held.join(stage(shared.select("key", "b"), "settle-shared"), "key").select(F.col("_centre").alias("a"), "b")
+    joined = components(links)
+    placed = placed.join(joined, F.col("_centre") == F.col("node"), "left").withColumn("component", F.coalesce("component", "_centre")).drop("node", "_centre")
     sizes = stage(placed.groupBy("component").agg(F.count("*").alias("_n")), "settle-sizes")
     large = sizes.where(F.col("_n") > most).select("component")
-    rows = sizes.agg(F.sum("_n")).first()[0] or 0
     buckets = max(int(undecided.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // most))
-    small = placed.join(large, "component", "left_anti").withColumn("_bucket", F.pmod(F.xxhash64("component"), F.lit(buckets)))
-    layout = T.StructType([undecided.schema[ordinal]])
-    accepted = small.groupBy("_bucket").applyInArrow(_settler(unique, ordinal), layout)
+    small = placed.join(large, "component", "left_anti").withColumn("_bucket", F.pmod(F.xxhash64("component"), F.lit(buckets))).drop("component")
+    accepted = small.groupBy("_bucket").applyInArrow(_settler(unique, ordinal), T.StructType([undecided.schema[ordinal]]))
     return accepted, placed.join(large, "component", "left_semi").select(undecided.columns)
 
 
