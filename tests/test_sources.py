@@ -343,3 +343,25 @@ def test_documents(spark, tmp_path):
     path = write_document(spark, {"é": [1, None]}, str(tmp_path / "d.json"))
     assert read_manifest(spark, path) == {"é": [1, None]}
     assert time.strptime(slug(), "%Y%m%dT%H%M%SZ")
+
+
+@pytest.mark.parametrize("query", ["api_records", "page_protocol"])
+def test_pages_of_one_row_group_are_parsed_by_all_tasks(spark, tmp_path, monkeypatch, query):
+    from goldspine.suite import ingest
+
+    ids = spark.range(1, 401).repartition(1)
+    ids.select(
+        F.col("id").alias("c_custkey"), F.concat(F.lit("C"), "id").alias("c_name"), (F.col("id") % 3).cast("int").alias("c_nationkey"),
+        (F.col("id") - 200.5).alias("c_acctbal"), F.lit("BUILDING").alias("c_mktsegment"),
+    ).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT id AS n_nationkey, 'N' AS n_name, 0L AS n_regionkey FROM range(3)").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0L AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    parsed = []
+    monkeypatch.setattr(ingest, "parse_pages", lambda rows, *args, do=ingest.parse_pages: parsed.append(rows) or do(rows, *args))
+    found = ingest.QUERIES[query](spark, str(tmp_path))
+    if query == "api_records":
+        assert sorted((r.c_custkey, r.country_name, r.population) for r in found.collect()) == [(i, f"C{i}", i * 1000) for i in range(1, 401)]
+    else:
+        assert (found.first().pages, found.first().objects, found.first().problems) == (400, 800, 0)
+    dealt = parsed[0].groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in dealt) <= 200
